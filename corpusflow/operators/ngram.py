@@ -24,9 +24,8 @@ def pack_context(ids: Column, size: int) -> Column:
 
 
 def _grams(rows: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
-    size = F.size("ids")
-    rows = rows.where(size >= n)
-    shifted = [F.slice("ids", F.lit(i + 1), size - (n - 1)).alias(f"t{i}") for i in range(n)]
+    grams_in = F.greatest(F.size("ids") - (n - 1), F.lit(0))
+    shifted = [F.slice("ids", F.lit(i + 1), grams_in).alias(f"t{i}") for i in range(n)]
     grams = rows.select(*by, F.explode(F.arrays_zip(*shifted)).alias("g"))
     packed = F.lit(0).cast("bigint")
     for i in range(n - 1):

@@ -55,9 +55,10 @@ def cut_pages(df: DataFrame, page_size: int, split: str = "split", ids: str = "i
     Arrays are sliced at page borders and the slices regrouped; tokens are never rows.
     A page holds at most ``page_size`` ids, so no group can grow.
     """
-    rows = df.where(F.size(ids) > 0)
     first = F.expr(f"{start} div {page_size}")
     last = F.expr(f"({start} + size({ids}) - 1) div {page_size}")
+    # No filter on the ids: it would sink below the join and encode every text twice.
+    touched = F.when(F.size(ids) > 0, F.sequence(first, last))
 
     def piece(page: Column) -> Column:
         skip = F.greatest(page * page_size - F.col(start), F.lit(0))
@@ -68,7 +69,7 @@ def cut_pages(df: DataFrame, page_size: int, split: str = "split", ids: str = "i
             F.slice(ids, (skip + 1).cast("int"), (stop - skip).cast("int")).alias("part"),
         )
 
-    pieces = rows.select(split, F.explode(F.transform(F.sequence(first, last), piece)).alias("p"))
+    pieces = df.select(split, F.explode(F.transform(touched, piece)).alias("p"))
     return (
         pieces.select(split, F.col("p.page").alias("page"), F.struct("p.at", "p.part").alias("piece"))
         .groupBy(split, "page")
@@ -94,5 +95,5 @@ def token_pages(
     first (``scratch.through_table``).
     """
     offsets = token_offsets(df, order, length, split, bits, bounds)
-    placed = df.select(split, order, ids).join(offsets.select(split, order, "start"), [split, order])
+    placed = df.select(split, order, ids).join(offsets.select(split, order, "start"), [split, order], "left")
     return cut_pages(placed, page_size, split, ids)

@@ -83,15 +83,16 @@ def ema(
     power = F.pow(F.lit(keep), F.col("_i").cast("double"))
     weight = F.when(F.col("_i") == 0, F.lit(1.0)).otherwise(F.lit(alpha))
     inside = Window.partitionBy(run, "_seg").orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranked.withColumn("_sum", F.sum(weight * F.col(value) / power).over(inside))
-    local = local.withColumn("_local", F.when(F.col(value).isNotNull(), power * F.col("_sum")))
-    ends = local.groupBy(run, "_seg").agg(
-        F.max(F.when(F.col("_i") == 0, F.col(value))).alias("_first"),
-        F.max_by("_local", F.when(F.col(value).isNotNull(), F.col("_rank"))).alias("_end"),
+    local = ranked.withColumns(
+        {
+            "_sum": F.sum(weight * F.col(value) / power).over(inside),
+            "_first": F.max(F.when(F.col("_i") == 0, F.col(value))).over(inside),
+        }
     )
-    firsts = ends.select(run, "_seg", "_first")
-    carried = ends.select(run, (F.col("_seg") + 1).alias("_seg"), F.col("_end").alias("_carry"))
-    joined = local.join(firsts.join(carried, [run, "_seg"], "left"), [run, "_seg"])
+    local = local.withColumn("_local", F.when(F.col(value).isNotNull(), power * F.col("_sum")))
+    end = F.max_by("_local", F.when(F.col(value).isNotNull(), F.col("_rank")))
+    ends = local.groupBy(run, "_seg").agg(end.alias("_carry"))
+    joined = local.join(ends.withColumn("_seg", F.col("_seg") + 1), [run, "_seg"], "left")
     carry = F.col("_carry") if initial is None else F.coalesce("_carry", F.col(initial))
     corrected = F.col("_local") + power * keep * (carry - F.col("_first"))
     average = F.when(carry.isNull(), F.col("_local")).otherwise(corrected)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from corpusflow.scratch import reliable_checkpoint
 
@@ -24,8 +24,24 @@ _MERGE = {
 }
 
 
-def _required(name: str) -> Column:
-    return F.coalesce(F.col(name), F.raise_error(F.lit(f"ordered scan: {name} is null")))
+def _required(df: DataFrame, name: str) -> Column:
+    """The key column, failing on NULL.
+
+    The constant behind the failure is never reached; it makes the key non-nullable, so
+    that no null filter is added to one of two branches that should share an exchange.
+    """
+    kind = df.schema[name].dataType
+    zero = "1970-01-01" if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else "0"
+    return F.coalesce(F.col(name), F.raise_error(F.lit(f"ordered scan: {name} is null")), F.lit(zero).cast(kind))
+
+
+def _reads(*names: str) -> Column:
+    """An aggregate that is never NULL and reads the named columns.
+
+    Column pruning then leaves the bucket totals the same input as the window beside
+    them, and Spark runs one exchange for both.
+    """
+    return F.max(F.xxhash64(*names)).isNotNull()
 
 
 def exclusive_scan(
@@ -49,7 +65,7 @@ def exclusive_scan(
         low, high = df.agg(F.min(order), F.max(order)).first()
         bounds = (low or 0, high or 0)
     value = F.col(value) if isinstance(value, str) else value
-    guarded = {name: _required(name) for name in (*by, order)}
+    guarded = {name: _required(df, name) for name in (*by, order)}
     rows = df.withColumn("_value", value).withColumns(guarded)
     scanned = _scan(rows, order, tuple(by), out, how, bits, *bounds).drop("_value")
     return scanned.withColumn(out, F.coalesce(out, F.lit(0).cast(scanned.schema[out].dataType))) if how == "sum" else scanned
@@ -61,12 +77,9 @@ def _scan(df: DataFrame, order: str, by: tuple[str, ...], out: str, how: str, bi
         return df.withColumn(out, _before(aggregate, order, by))
     bucket = f"{order}_hi"
     keys = [*by, bucket]
-    # One exchange serves both branches: the totals also look at the order key, so that
-    # column pruning leaves the same columns under them as under the window.
     rows = df.withColumn(bucket, F.shiftright(F.col(order).cast("bigint"), bits)).repartition(*keys)
     inner = rows.withColumn("_inner", _before(aggregate, order, keys))
-    totals = rows.groupBy(*keys).agg(aggregate("_value").alias("_value"), F.count(order).alias("_rows"))
-    totals = totals.select(*keys, F.when(F.col("_rows") > 0, F.col("_value")).alias("_value"))
+    totals = rows.groupBy(*keys).agg(F.when(_reads(*keys, order, "_value"), aggregate("_value")).alias("_value"))
     outer = _scan(totals, bucket, by, "_outer", how, bits, low >> bits, high >> bits)
     joined = inner.join(outer.select(*keys, "_outer"), keys)
     combined = (

@@ -36,5 +36,5 @@ def char_pages(docs: DataFrame, page_size: int = 1024, encoder: CharEncoder | No
     """
     encoder = encoder or CharEncoder(collect_vocab(build_vocab(docs)))
     offsets = token_offsets(docs, length=F.length("text"), split=split)
-    placed = docs.select(split, "doc_id", "text").join(offsets.select(split, "doc_id", "start"), [split, "doc_id"])
+    placed = docs.select(split, "doc_id", "text").join(offsets.select(split, "doc_id", "start"), [split, "doc_id"], "left")
     return cut_pages(encoder.encode(placed), page_size, split)

@@ -12,6 +12,7 @@ from corpusflow.operators.vocab import build_vocab
 from corpusflow.plans.char_corpus import char_pages
 from corpusflow.plans.corpus_queries import LONG, STREAM, VOCAB
 from corpusflow.plans.registry import query
+from corpusflow.scratch import reliable_checkpoint
 from corpusflow.sources.tables import read_documents, read_table
 
 BIGRAMS = f"""
@@ -118,7 +119,8 @@ def cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     items = read_table(spark, folder, "benchmark").select(F.col("item_id").alias("doc_id"), "text", F.lit("val").alias("split"))
     both = docs.unionByName(items)
     encoder = CharEncoder(collect_vocab(build_vocab(both)))
-    counts = ngram.fit_ngram(char_pages(both, encoder=encoder), by=["split"])
+    # read twice, and small beside the corpus
+    counts = reliable_checkpoint(ngram.fit_ngram(char_pages(both, encoder=encoder), by=["split"]))
     model = counts.where("split = 'train'").drop("split")
     scored = ngram.cross_entropy(counts, model, encoder.size)
     return scored.select("split", "targets", F.round("loss", 6).alias("loss"))
