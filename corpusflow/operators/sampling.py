@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.functions.hashing import hash60
 from corpusflow.functions.lists import shift_pairs
 
 # Splits are named by hand; more than this is a mistake in the input.
 MAX_SPLITS = 10_000
+# So many pages are worth naming one by one to the source of the pages.
+MAX_NAMED_PAGES = 5_000
 
 
-def split_sizes(pages: DataFrame, split: str = "split") -> dict[str, int]:
-    """Tokens per split, on the driver."""
-    totals = pages.groupBy(split).agg(F.sum(F.size("ids")).alias("n")).limit(MAX_SPLITS + 1).collect()
+def split_sizes(df: DataFrame, length: Column | None = None, split: str = "split") -> dict[str, int]:
+    """Tokens per split of pages, or of rows with a ``length``; on the driver."""
+    size = F.size("ids") if length is None else length
+    totals = df.groupBy(split).agg(F.sum(size).alias("n")).limit(MAX_SPLITS + 1).collect()
     if len(totals) > MAX_SPLITS:
         raise ValueError("too many splits")
     return {row[split]: row["n"] for row in totals}
@@ -47,12 +50,17 @@ def sample_blocks(
 
     A draw names the few pages it touches, and an equi-join fetches them; only the slices
     a draw needs are regrouped.  Spark broadcasts the draws while they are few and
-    shuffles both sides otherwise.
+    shuffles both sides otherwise.  Few draws also become a filter on the page number,
+    with which token files are read at these pages only, and pages still to be built
+    leave out all others before their shuffle.
     """
     sizes = split_sizes(pages) if sizes is None else sizes
     draws = draw_starts(pages.sparkSession, sizes, iters, batch, block, seed)
     touched = F.sequence(F.expr(f"start div {page_size}"), F.expr(f"(start + {block}) div {page_size}"))
     wanted = draws.withColumn("page", F.explode(touched))
+    if iters * batch * len(sizes) * (block // page_size + 2) <= MAX_NAMED_PAGES:
+        named = [row["page"] for row in wanted.select("page").distinct().collect()]
+        pages = pages.where(F.col("page").isin(named))
     begin = F.col("page") * page_size
     skip = F.greatest(F.col("start") - begin, F.lit(0))
     stop = F.least(F.col("start") + block + 1 - begin, F.lit(page_size).cast("bigint"))

@@ -122,15 +122,19 @@ def find_position(
     df: DataFrame,
     length: str | Column,
     order: str,
-    target: int,
+    target: int | None = None,
+    fraction: float | None = None,
     bits: int = SCAN_BITS,
 ) -> tuple[int, int] | None:
-    """Key of the row that contains position ``target`` of the concatenation, and the offset in it.
+    """Key of the row that holds position ``target`` of the concatenation, and the offset in it.
 
+    Instead of a position, ``fraction`` of the whole length (rounded down) may be given.
     Descends the same buckets as :func:`exclusive_scan`, but follows only the bucket
     that holds the target: every step is one partial aggregation to at most ``2**bits``
     sums, on a key range that the scan can push down.
     """
+    if (target is None) == (fraction is None):
+        raise ValueError("give either target or fraction")
     rows = df.select(F.col(order).cast("bigint").alias("key"), (F.col(length) if isinstance(length, str) else length).alias("len"))
     low, high = rows.agg(F.min("key"), F.max("key")).first()
     if low is None:
@@ -143,15 +147,15 @@ def find_position(
         buckets = rows.groupBy(F.shiftright("key", shift).alias("bucket")).agg(
             F.sum("len").alias("len"), F.count("*").alias("rows")
         )
-        earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        start = F.coalesce(F.sum("len").over(earlier), F.lit(0)) + before
-        hit = (
-            buckets.withColumn("start", start)
-            .where((F.col("start") <= target) & (F.col("start") + F.col("len") > target))
-            .first()
-        )
+        ordered = Window.orderBy("bucket")
+        earlier = F.sum("len").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+        everything = F.sum("len").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        wanted = F.floor(everything.cast("double") * fraction) if target is None else F.lit(target)
+        placed = buckets.withColumns({"start": F.coalesce(earlier, F.lit(0)) + before, "target": wanted})
+        hit = placed.where((F.col("start") <= F.col("target")) & (F.col("start") + F.col("len") > F.col("target"))).first()
         if hit is None:
             return None
+        target = hit["target"]
         if shift == 0:
             if hit["rows"] > 1:
                 raise ValueError(f"{order} {hit['bucket']} is not unique")

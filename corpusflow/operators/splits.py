@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
 from corpusflow.functions.hashing import hash_uniform
@@ -25,9 +23,7 @@ def split_contiguous(
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie between 0 and 1")
-    length = F.length(text)
-    total = df.agg(F.sum(length)).first()[0] or 0
-    cut = find_position(df, length, order, math.floor(total * fraction), bits)
+    cut = find_position(df, F.length(text), order, fraction=fraction, bits=bits)
     first, second = (F.lit(n) for n in names)
     rest = [c for c in df.columns if c != text]
     whole = F.col(text)

@@ -9,22 +9,25 @@ from corpusflow.operators.encode import CharEncoder
 from corpusflow.operators.pages import cut_pages, token_offsets
 from corpusflow.operators.splits import split_contiguous
 from corpusflow.operators.vocab import build_vocab
+from corpusflow.sources.tables import spread
+
+
+def char_encoder(docs: DataFrame) -> CharEncoder:
+    """The encoder of all characters in the texts."""
+    return CharEncoder(collect_vocab(build_vocab(spread(docs, "doc_id"))))
 
 
 def char_split(docs: DataFrame, fraction: float = 0.9) -> tuple[DataFrame, CharEncoder]:
     """Documents cut into train and val and encoded by character, with the encoder used."""
-    encoder = CharEncoder(collect_vocab(build_vocab(docs)))
-    return encoder.encode(split_contiguous(docs, fraction)), encoder
+    encoder = char_encoder(docs)
+    return encoder.encode(spread(split_contiguous(docs, fraction), "doc_id")), encoder
 
 
 def char_totals(docs: DataFrame, fraction: float = 0.9) -> DataFrame:
-    """``(split, documents, tokens, digits)`` of the encoded corpus: the encoder runs on every text."""
+    """``(split, documents, tokens)`` of the encoded corpus: the encoder runs on every text."""
     encoded, _ = char_split(docs, fraction)
-    checksum = F.aggregate("ids", F.lit(0).cast("bigint"), lambda acc, i: acc + i)
     return encoded.groupBy("split").agg(
-        F.count("*").alias("documents"),
-        F.sum(F.size("ids")).cast("bigint").alias("tokens"),
-        F.sum(checksum).alias("id_sum"),
+        F.count("*").alias("documents"), F.sum(F.size("ids")).cast("bigint").alias("tokens")
     )
 
 
@@ -34,7 +37,7 @@ def char_pages(docs: DataFrame, page_size: int = 1024, encoder: CharEncoder | No
     Offsets need lengths only, so the texts are encoded after they met their offsets:
     a character of text is a byte or two in a shuffle, an id four.
     """
-    encoder = encoder or CharEncoder(collect_vocab(build_vocab(docs)))
-    offsets = token_offsets(docs, length=F.length("text"), split=split)
-    placed = docs.select(split, "doc_id", "text").join(offsets.select(split, "doc_id", "start"), [split, "doc_id"], "left")
-    return cut_pages(encoder.encode(placed), page_size, split)
+    encoder = encoder or char_encoder(docs)
+    offsets = token_offsets(docs, length=F.length("text"), split=split).select(split, "doc_id", "start")
+    texts = spread(docs.select(split, "doc_id", "text"), "doc_id")
+    return cut_pages(encoder.encode(texts.join(offsets, [split, "doc_id"], "left")), page_size, split)

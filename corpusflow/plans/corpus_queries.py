@@ -9,13 +9,13 @@ from corpusflow.functions.completions import split_completion as add_completion_
 from corpusflow.functions.lists import crop_context as crop, shift_pairs as shifted
 from corpusflow.functions.chars import collect_vocab
 from corpusflow.operators import encode, pages as page_ops, rows, splits, vocab as vocab_ops
-from corpusflow.operators.sampling import sample_blocks as draw_blocks
-from corpusflow.plans.char_corpus import char_pages, char_split, char_totals
+from corpusflow.operators.sampling import sample_blocks as draw_blocks, split_sizes
+from corpusflow.plans.char_corpus import char_encoder, char_pages, char_totals
 from corpusflow.plans.registry import query
-from corpusflow.scratch import scratch_path
+from corpusflow.scratch import scratch_path, through_table
 from corpusflow.sinks.tables import append_registry, write_vocab
 from corpusflow.sources.dataset import read_dataset, read_encoder, read_vocab
-from corpusflow.sources.tables import read_documents, read_table
+from corpusflow.sources.tables import read_documents, read_table, spread_documents
 from corpusflow.sources.text import read_text_corpus, sum_first_field
 from corpusflow.sources.tokenfile import read_token_files, write_token_files
 
@@ -101,7 +101,7 @@ def first_field_sums(spark: SparkSession, folder: str) -> DataFrame:
     FROM documents AS d GROUP BY lang
 """)
 def corpus_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return vocab_ops.corpus_stats(read_documents(spark, folder, "lang"), by=("lang",))
+    return vocab_ops.corpus_stats(spread_documents(spark, folder, "lang"), by=("lang",))
 
 
 @query("""
@@ -109,24 +109,24 @@ def corpus_stats(spark: SparkSession, folder: str) -> DataFrame:
     WHERE ch <> '' GROUP BY ch
 """)
 def char_freq(spark: SparkSession, folder: str) -> DataFrame:
-    return vocab_ops.char_freq(read_documents(spark, folder))
+    return vocab_ops.char_freq(spread_documents(spark, folder))
 
 
 @query(f"WITH {VOCAB} SELECT CAST(id AS INTEGER) AS id, ch FROM vocab")
 def vocab(spark: SparkSession, folder: str) -> DataFrame:
-    return vocab_ops.build_vocab(read_documents(spark, folder))
+    return vocab_ops.build_vocab(spread_documents(spark, folder))
 
 
 @query(f"WITH {VOCAB} SELECT count(*) AS vocab_size FROM vocab")
 def vocab_size(spark: SparkSession, folder: str) -> DataFrame:
-    return vocab_ops.vocab_size(read_documents(spark, folder))
+    return vocab_ops.vocab_size(spread_documents(spark, folder))
 
 
 @query(f"WITH {VOCAB} SELECT CAST(id AS INTEGER) AS id, ch FROM vocab")
 def vocab_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Vocabulary stored and read back."""
     path = scratch_path(spark, "vocab")
-    write_vocab(vocab_ops.build_vocab(read_documents(spark, folder)), path)
+    write_vocab(vocab_ops.build_vocab(spread_documents(spark, folder)), path)
     return read_vocab(spark, path)
 
 
@@ -136,7 +136,7 @@ def vocab_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def stored_encoder(spark: SparkSession, folder: str) -> DataFrame:
     """Documents encoded with the encoder that a stored vocabulary gives."""
-    docs, path = read_documents(spark, folder), scratch_path(spark, "vocab")
+    docs, path = spread_documents(spark, folder), scratch_path(spark, "vocab")
     write_vocab(vocab_ops.build_vocab(docs), path)
     return read_encoder(spark, path).encode(docs).select("doc_id", _digest())
 
@@ -149,7 +149,7 @@ _OOV = """
 
 @query(_OOV + "SELECT ch, count(*) AS cnt FROM used WHERE ch <> '' AND ch NOT IN (SELECT ch FROM known) GROUP BY ch")
 def oov_chars(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_documents(spark, folder, "lang")
+    docs = spread_documents(spark, folder, "lang")
     known = vocab_ops.build_vocab(docs.where("lang = 'en'"))
     return vocab_ops.oov_chars(docs.where("lang = 'de'"), known)
 
@@ -159,7 +159,7 @@ def oov_chars(spark: SparkSession, folder: str) -> DataFrame:
     FROM used WHERE ch <> '' AND ch NOT IN (SELECT ch FROM known) GROUP BY doc_id
 """)
 def oov_rows(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_documents(spark, folder, "lang")
+    docs = spread_documents(spark, folder, "lang")
     known = vocab_ops.build_vocab(docs.where("lang = 'en'"))
     found = vocab_ops.oov_rows(docs.where("lang = 'de'"), known)
     return found.select("doc_id", F.array_join("chars", "").alias("chars"))
@@ -171,7 +171,7 @@ def oov_rows(spark: SparkSession, folder: str) -> DataFrame:
     FROM coded GROUP BY doc_id
 """)
 def token_long(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_documents(spark, folder)
+    docs = spread_documents(spark, folder)
     long = vocab_ops.token_long(docs, vocab_ops.build_vocab(docs))
     weighted = F.col("id").cast("bigint") * F.col("pos")
     return long.groupBy("doc_id").agg(
@@ -186,14 +186,14 @@ def token_long(spark: SparkSession, folder: str) -> DataFrame:
     ) USING (doc_id)
 """)
 def encode_chars(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_documents(spark, folder, "lang")
+    docs = spread_documents(spark, folder, "lang")
     coded = encode.encode_chars(docs, vocab_ops.build_vocab(docs))
     return coded.select("doc_id", "lang", "len", _digest())
 
 
 @query("SELECT doc_id, md5(text) AS digest FROM documents")
 def decode_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_documents(spark, folder)
+    docs = spread_documents(spark, folder)
     known = collect_vocab(vocab_ops.build_vocab(docs))
     return encode.decode_ids(encode.encode_chars(docs, known), known).select("doc_id", F.md5("text").alias("digest"))
 
@@ -204,7 +204,7 @@ def decode_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def encode_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """Subword encoding with the single-byte ranks: ids are the UTF-8 bytes, then end of text."""
-    coded = subword.encode_subword(read_documents(spark, folder, "lang"), subword.byte_ranks())
+    coded = subword.encode_subword(spread_documents(spark, folder, "lang"), subword.byte_ranks())
     digits = F.transform(F.slice("ids", F.lit(1), F.col("len") - 1), lambda i: F.lpad(F.hex(i), 2, "0"))
     return coded.select("doc_id", "lang", "len", F.element_at("ids", -1).alias("last_id"), F.md5(F.array_join(digits, "")).alias("digest"))
 
@@ -212,7 +212,7 @@ def encode_bytes(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT doc_id, md5(text) AS digest FROM documents")
 def bytes_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     ranks = subword.byte_ranks()
-    coded = subword.encode_subword(read_documents(spark, folder), ranks)
+    coded = subword.encode_subword(spread_documents(spark, folder), ranks)
     return subword.decode_subword(coded, ranks).select("doc_id", F.md5("text").alias("digest"))
 
 
@@ -227,7 +227,7 @@ if public_tokenizers is not None:
     def subword_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         """The 50k byte-pair encoding: decodes to the text, takes no more ids than bytes."""
         ranks = subword.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-        docs = read_documents(spark, folder).withColumn("bytes", F.octet_length("text"))
+        docs = spread_documents(spark, folder).withColumn("bytes", F.octet_length("text"))
         coded = subword.encode_subword(docs, ranks)
         checked = coded.withColumns({"last_id": F.element_at("ids", -1), "shorter": F.col("len") <= F.col("bytes") + 1})
         return subword.decode_subword(checked, ranks).select("doc_id", "last_id", "shorter", F.md5("text").alias("digest"))
@@ -260,7 +260,7 @@ def drop_columns(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def map_rows(spark: SparkSession, folder: str) -> DataFrame:
     """A Python function per row; label columns survive, the text does not."""
-    labelled = read_documents(spark, folder).join(read_table(spark, folder, "labels"), "doc_id")
+    labelled = spread_documents(spark, folder).join(read_table(spark, folder, "labels"), "doc_id")
 
     def measure(row: dict) -> dict:
         return {"n": len(row["text"]), "words": len(row["text"].split(" "))}
@@ -309,11 +309,10 @@ def split_contiguous(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
     WITH {VOCAB}, {STARTS},
     ids AS (
-        SELECT split, sum(id) AS id_sum FROM (SELECT split, unnest(string_split(part, '')) AS ch FROM parts) JOIN vocab USING (ch)
+        SELECT split, count(*) AS tokens FROM (SELECT split, unnest(string_split(part, '')) AS ch FROM parts) JOIN vocab USING (ch)
         GROUP BY split
     )
-    SELECT split, count(*) AS documents, CAST(sum(length(part)) AS BIGINT) AS tokens, CAST(any_value(id_sum) AS BIGINT) AS id_sum
-    FROM parts JOIN ids USING (split) GROUP BY split
+    SELECT split, count(*) AS documents, any_value(tokens) AS tokens FROM parts JOIN ids USING (split) GROUP BY split
 """)
 def char_corpus(spark: SparkSession, folder: str) -> DataFrame:
     """The character corpus from end to end: vocabulary, 90/10 cut, ids, totals."""
@@ -328,7 +327,7 @@ def char_corpus(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def token_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Random split, subword encoding with end of text, tokens per split."""
-    parted = splits.split_random(read_documents(spark, folder), 0.1)
+    parted = splits.split_random(spread_documents(spark, folder), 0.1)
     return page_ops.token_totals(subword.encode_subword(parted, subword.byte_ranks()))
 
 
@@ -342,7 +341,7 @@ def epoch_iters(spark: SparkSession, folder: str) -> DataFrame:
     from corpusflow.functions.metrics import BatchShape
     from corpusflow.operators.runlog import epoch_iters as with_iters
 
-    coded = subword.encode_subword(_one_split(read_documents(spark, folder)), subword.byte_ranks())
+    coded = subword.encode_subword(_one_split(spread_documents(spark, folder)), subword.byte_ranks())
     shape = BatchShape(gas=5, world=8, batch=12, block=1024)
     return with_iters(page_ops.token_totals(coded), shape.tokens_per_iter).withColumn("iters", F.round("iters", 6))
 
@@ -386,8 +385,9 @@ def token_pages(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def subword_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages of the byte encoding with an end-of-text id after every document."""
-    coded = subword.encode_subword(_one_split(read_documents(spark, folder)), subword.byte_ranks())
-    pages = page_ops.token_pages(coded, length=F.col("len"))
+    coded = subword.encode_subword(_one_split(spread_documents(spark, folder)), subword.byte_ranks())
+    # offsets need the lengths that only the encoder knows, so it runs once into a table
+    pages = page_ops.token_pages(through_table(coded, "coded"))
     ends = F.size(F.filter("ids", lambda i: i == 256))
     return pages.select("split", "page", F.size("ids").alias("size"), ends.alias("ends"))
 
@@ -418,7 +418,7 @@ def roundtrip_single_files(spark: SparkSession, folder: str) -> DataFrame:
     WHERE pos >= n - 256 GROUP BY doc_id
 """)
 def crop_context(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read_documents(spark, folder)
+    docs = spread_documents(spark, folder)
     coded = encode.encode_chars(docs, vocab_ops.build_vocab(docs))
     return coded.select("doc_id", crop("ids", 256).alias("ids")).select("doc_id", _digest())
 
@@ -429,7 +429,7 @@ def crop_context(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def shift_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """The first block of every document long enough, and the same moved by one, as text."""
-    docs = read_documents(spark, folder)
+    docs = spread_documents(spark, folder)
     known = collect_vocab(vocab_ops.build_vocab(docs))
     coded = encode.encode_chars(docs, known).where("len > 128").select("doc_id", *shifted("ids", 128))
     return coded.select(
@@ -454,10 +454,10 @@ def shift_pairs(spark: SparkSession, folder: str) -> DataFrame:
 def sample_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """16 batches of 12 blocks of 256 characters from every language, as text."""
     docs = read_documents(spark, folder, "lang").withColumnRenamed("lang", "split")
-    known = collect_vocab(vocab_ops.build_vocab(docs))
-    totals = page_ops.token_totals(docs, F.length("text"))
-    sizes = {row["split"]: row["tokens"] for row in totals.collect()}
-    pages = char_pages(docs, encoder=encode.CharEncoder(known))
+    encoder = char_encoder(docs)
+    known = encoder.vocab
+    sizes = split_sizes(docs, F.length("text"))
+    pages = char_pages(docs, encoder=encoder)
     blocks = draw_blocks(pages, iters=16, batch=12, block=256, sizes=sizes)
     return blocks.select(
         "split", "iter", "row", "start",

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusflow.functions import chars
-from corpusflow.functions.chars import collect_vocab
 from corpusflow.operators import ngram
 from corpusflow.operators.encode import CharEncoder
-from corpusflow.operators.vocab import build_vocab
-from corpusflow.plans.char_corpus import char_pages
+from corpusflow.plans.char_corpus import char_encoder, char_pages
 from corpusflow.plans.corpus_queries import LONG, STREAM, VOCAB
 from corpusflow.plans.registry import query
 from corpusflow.scratch import reliable_checkpoint
@@ -25,9 +23,9 @@ UNIFORM = "CAST('0x' || left(md5({0}), 15) AS BIGINT) / 1152921504606846976.0::D
 def _corpus(spark: SparkSession, folder: str, n: int = 2) -> tuple[DataFrame, CharEncoder]:
     """N-gram counts of all documents in order, and the encoder; unknown characters get an id of their own."""
     docs = read_documents(spark, folder)
-    known = collect_vocab(build_vocab(docs))
-    pages = char_pages(docs.withColumn("split", F.lit("train")), encoder=CharEncoder(known))
-    return ngram.fit_ngram(pages, n), CharEncoder(known, "unk", len(known))
+    encoder = char_encoder(docs)
+    pages = char_pages(docs.withColumn("split", F.lit("train")), encoder=encoder)
+    return ngram.fit_ngram(pages, n), CharEncoder(encoder.vocab, "unk", encoder.size)
 
 
 def _prompts(spark: SparkSession, folder: str, encoder: CharEncoder) -> DataFrame:
@@ -118,7 +116,7 @@ def cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_documents(spark, folder).withColumn("split", F.lit("train"))
     items = read_table(spark, folder, "benchmark").select(F.col("item_id").alias("doc_id"), "text", F.lit("val").alias("split"))
     both = docs.unionByName(items)
-    encoder = CharEncoder(collect_vocab(build_vocab(both)))
+    encoder = char_encoder(both)
     # read twice, and small beside the corpus
     counts = reliable_checkpoint(ngram.fit_ngram(char_pages(both, encoder=encoder), by=["split"]))
     model = counts.where("split = 'train'").drop("split")

@@ -9,7 +9,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Repartition only if the scan has fewer partitions than there are cores.
 
     A large table is left as it is; a small one in a single file would otherwise be
-    worked on by one core.
+    worked on by one core.  Meant for work per character; lengths and keys are cheaper
+    to take from the scan itself.
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
     scanned = df._jdf.queryExecution().toRdd().getNumPartitions()
@@ -23,4 +24,9 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def read_documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """``doc_id``, ``text`` and further columns of the corpus table."""
     wanted = ["doc_id", "text", *[c for c in columns if c not in ("doc_id", "text")]]
-    return spread(read_table(spark, folder, "documents").select(*wanted), "doc_id")
+    return read_table(spark, folder, "documents").select(*wanted)
+
+
+def spread_documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """The same for work per character."""
+    return spread(read_documents(spark, folder, *columns), "doc_id")

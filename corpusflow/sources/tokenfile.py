@@ -87,48 +87,60 @@ def _extents(path: str) -> list[Extent]:
     return [found[k] for k in sorted(found)]
 
 
-@dataclass
-class TokenRange(InputPartition):
-    """Whole pages of one split, and the file pieces that hold them."""
+@dataclass(frozen=True)
+class PageRun:
+    """Consecutive pages of one split, and the file pieces that hold them."""
 
     split: str
     first_page: int
     pieces: list[tuple[str, int, int]]  # file, first token, tokens
 
-    def __init__(self, split: str, first_page: int, pieces: list[tuple[str, int, int]]) -> None:
-        self.split, self.first_page, self.pieces = split, first_page, pieces
+
+class TokenRange(InputPartition):
+    """What one task reads."""
+
+    def __init__(self, runs: list[PageRun]) -> None:
+        self.runs = runs
 
 
 class TokenFileReader(DataSourceReader):
     def __init__(self, path: str, page_size: int, task_tokens: int) -> None:
         self.path, self.page_size = path, page_size
         self.task_tokens = max(task_tokens // page_size, 1) * page_size
-        self.splits: set[str] | None = None
+        self.kept: dict[str, set | None] = {"split": None, "page": None}
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("split",):
-                self._keep({f.value})
-            elif isinstance(f, In) and f.attribute == ("split",):
-                self._keep(set(f.value))
+            if isinstance(f, (EqualTo, In)) and len(f.attribute) == 1 and f.attribute[0] in self.kept:
+                name, values = f.attribute[0], {f.value} if isinstance(f, EqualTo) else set(f.value)
+                before = self.kept[name]
+                self.kept[name] = values if before is None else before & values
             else:
                 yield f
 
-    def _keep(self, names: set[str]) -> None:
-        self.splits = names if self.splits is None else self.splits & names
+    def _stretches(self, tokens: int) -> Iterator[tuple[int, int]]:
+        """Token ranges of a split for one task each: everything, or the wanted pages."""
+        if self.kept["page"] is None:
+            for low in range(0, tokens, self.task_tokens):
+                yield low, min(low + self.task_tokens, tokens)
+            return
+        wanted = sorted(p for p in self.kept["page"] if p is not None and 0 <= p * self.page_size < tokens)
+        for i, page in enumerate(wanted):
+            if i == 0 or page != wanted[i - 1] + 1 or (page - first) * self.page_size >= self.task_tokens:
+                first = page
+            if i + 1 == len(wanted) or wanted[i + 1] != page + 1 or (page + 1 - first) * self.page_size >= self.task_tokens:
+                yield first * self.page_size, min((page + 1) * self.page_size, tokens)
 
     def partitions(self) -> Sequence[InputPartition]:
         by_split: dict[str, list[Extent]] = {}
         for extent in _extents(self.path):
-            if self.splits is None or extent.split in self.splits:
+            if self.kept["split"] is None or extent.split in self.kept["split"]:
                 by_split.setdefault(extent.split, []).append(extent)
-        ranges: list[InputPartition] = []
+        runs: list[PageRun] = []
         for split, extents in by_split.items():
             extents.sort(key=lambda e: e.start)
-            size = extents[-1].start + extents[-1].count
             nearest = 0
-            for low in range(0, size, self.task_tokens):
-                high = min(low + self.task_tokens, size)
+            for low, high in self._stretches(extents[-1].start + extents[-1].count):
                 while extents[nearest].start + extents[nearest].count <= low:
                     nearest += 1
                 pieces, i = [], nearest
@@ -138,26 +150,42 @@ class TokenFileReader(DataSourceReader):
                     if last > first:
                         pieces.append((e.file, first - e.start, last - first))
                     i += 1
-                ranges.append(TokenRange(split, low // self.page_size, pieces))
-        return ranges
+                runs.append(PageRun(split, low // self.page_size, pieces))
+        return self._tasks(runs)
+
+    def _tasks(self, runs: list[PageRun]) -> list[InputPartition]:
+        """Single pages far apart share a task, up to the size of a task."""
+        tasks: list[InputPartition] = []
+        held, size = [], 0
+        for run in runs:
+            tokens = sum(count for _, _, count in run.pieces)
+            if held and size + tokens > self.task_tokens:
+                tasks.append(TokenRange(held))
+                held, size = [], 0
+            held.append(run)
+            size += tokens
+        if held:
+            tasks.append(TokenRange(held))
+        return tasks
 
     def read(self, partition: TokenRange) -> Iterator[pa.RecordBatch]:
         fs, _ = _filesystem(self.path)
-        page, held = partition.first_page, np.empty(0, dtype=ID_TYPE)
         step = BATCH_PAGES * self.page_size
-        for file, first, count in partition.pieces:
-            with fs.open_input_file(file) as source:
-                for at in range(first, first + count, step):
-                    take = min(step, first + count - at)
-                    raw = source.read_at(take * ID_TYPE.itemsize, at * ID_TYPE.itemsize)
-                    held = np.concatenate([held, np.frombuffer(raw, dtype=ID_TYPE)])
-                    whole = len(held) // self.page_size * self.page_size
-                    if whole:
-                        yield self._batch(partition.split, page, held[:whole])
-                        page += whole // self.page_size
-                        held = held[whole:]
-        if len(held):
-            yield self._batch(partition.split, page, held)
+        for run in partition.runs:
+            page, held = run.first_page, np.empty(0, dtype=ID_TYPE)
+            for file, first, count in run.pieces:
+                with fs.open_input_file(file) as source:
+                    for at in range(first, first + count, step):
+                        take = min(step, first + count - at)
+                        raw = source.read_at(take * ID_TYPE.itemsize, at * ID_TYPE.itemsize)
+                        held = np.concatenate([held, np.frombuffer(raw, dtype=ID_TYPE)])
+                        whole = len(held) // self.page_size * self.page_size
+                        if whole:
+                            yield self._batch(run.split, page, held[:whole])
+                            page += whole // self.page_size
+                            held = held[whole:]
+            if len(held):
+                yield self._batch(run.split, page, held)
 
     def _batch(self, split: str, page: int, ids: np.ndarray) -> pa.RecordBatch:
         ends = np.append(np.arange(0, len(ids), self.page_size), len(ids)).astype(np.int32)
@@ -337,7 +365,11 @@ class TokenFiles(DataSource):
 
 
 def read_token_files(spark: SparkSession, path: str, page_size: int = 1024, task_tokens: int = TASK_TOKENS) -> DataFrame:
-    """``(split, page, ids)`` from a folder of token files; a filter on ``split`` skips the other files."""
+    """``(split, page, ids)`` from a folder of token files.
+
+    A filter on ``split`` skips the other files, one on ``page`` (``=`` or ``isin``) reads
+    these pages only.
+    """
     spark.dataSource.register(TokenFiles)
     # filters reach Python sources only where the session allows it
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")

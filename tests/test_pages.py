@@ -15,7 +15,9 @@ from corpusflow.operators.sampling import sample_blocks, split_sizes
 from corpusflow.operators.splits import split_contiguous, split_random
 from corpusflow.operators.vocab import build_vocab
 from corpusflow.plans.char_corpus import char_pages
-from corpusflow.sources.tokenfile import read_token_files, write_token_files
+from pyspark.sql.datasource import GreaterThan, In
+
+from corpusflow.sources.tokenfile import TokenFileReader, read_token_files, write_token_files
 
 P = 8
 # shorter than a page, exactly a page, across three pages, an empty document between two others
@@ -87,6 +89,25 @@ def test_token_files_round_trip(spark, coded, streams, tmp_path, layout):
     assert {s: [t for ids in lists for t in ids] for s, lists in joined(other).items()} == streams
     only = read_token_files(spark, path, page_size=P).where("split = 'val'")
     assert {r.split for r in only.collect()} == {"val"}
+    some = back.where(F.col("page").isin(0, 1, 4, 5, 6, 99))
+    assert {(r.split, r.page): r.ids for r in some.collect()} == {
+        (r.split, r.page): r.ids for r in pages.collect() if r.page in (0, 1, 4, 5, 6)
+    }
+    train = back.where("split = 'train'")
+    for d in sample_blocks(train, iters=3, batch=2, block=11, page_size=P).collect():
+        assert d.x == streams["train"][d.start : d.start + 11]
+
+
+def test_only_wanted_pages_are_read(tmp_path):
+    np.arange(100, dtype="<u2").tofile(tmp_path / "train.bin")
+    for task_tokens, tasks in ((8, 5), (1000, 1)):
+        reader = TokenFileReader(str(tmp_path), 4, task_tokens)
+        assert list(reader.pushFilters([In(("page",), (1, 2, 3, 4, 9, 24, 25, 90)), GreaterThan(("page",), 2)])) == [GreaterThan(("page",), 2)]
+        parts = reader.partitions()
+        assert sum(n for part in parts for run in part.runs for _, _, n in run.pieces) == 6 * 4
+        got = [i for part in parts for batch in reader.read(part) for ids in batch.column("ids").to_pylist() for i in ids]
+        assert got == [*range(4, 20), *range(36, 40), *range(96, 100)]
+        assert len(parts) <= tasks
 
 
 def test_flat_file_is_what_numpy_expects(spark, coded, streams, tmp_path):
