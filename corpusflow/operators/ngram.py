@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusflow.functions.hashing import hash_uniform
 from corpusflow.functions.lists import crop_context
-from corpusflow.scratch import reliable_checkpoint
+from corpusflow.scratch import stored
 
 # Fixed value: ids are 16 bit, so a context of up to three of them packs into a BIGINT.
 ID_SPAN = 65536
@@ -129,15 +129,15 @@ def continue_prompts(
     temperature: float = 0.8,
     seed: int = 1337,
     key: str = "key",
-    checkpoint_every: int = 8,
+    store_every: int = 8,
 ) -> DataFrame:
     """Extend ``ids`` of every prompt by up to ``steps`` drawn tokens.
 
     Each step looks up the last ``n - 1`` ids only.  A prompt ends early at a context the
-    table does not know.  The growing plan is cut by reliable checkpoints.
+    table does not know.  The growing plan is cut every few steps by storing the prompts.
     """
     probs = next_probs(table, temperature) if top_k is None else top_k_probs(table, top_k, temperature)
-    choices = reliable_checkpoint(cumulative_choices(probs))
+    choices = stored(cumulative_choices(probs), "choices")
     rest = [c for c in prompts.columns if c != "ids"]
     current = prompts.withColumn("_open", F.size("ids") >= n - 1)
     for step in range(steps):
@@ -150,8 +150,8 @@ def continue_prompts(
             F.when(token.isNull(), F.col("ids")).otherwise(F.concat("ids", F.array(token))).alias("ids"),
             token.isNotNull().alias("_open"),
         )
-        if (step + 1) % checkpoint_every == 0 and step + 1 < steps:
-            current = reliable_checkpoint(current)
+        if (step + 1) % store_every == 0 and step + 1 < steps:
+            current = stored(current, "prompts")
     return current.select(*rest, "ids")
 
 

@@ -92,7 +92,7 @@ def token_pages(
 
     ``length`` must equal the size of ``ids``.  Where it can be had without encoding
     (characters), the offsets never touch the encoder; otherwise store the encoded rows
-    first (``scratch.through_table``).
+    first (``scratch.stored``).
     """
     offsets = token_offsets(df, order, length, split, bits, bounds)
     placed = df.select(split, order, ids).join(offsets.select(split, order, "start"), [split, order], "left")

@@ -168,9 +168,12 @@ def histogram(df: DataFrame, value: str, bins: int = 64, by: Sequence[str] = ())
     ``low`` and ``high`` are the range of the group.  Both passes are partial aggregations.
     """
     present = df.where(F.col(value).isNotNull())
-    ranges = present.groupBy(*by).agg(F.min(value).alias("low"), F.max(value).alias("high"))
-    # without groups the range is a single row
-    ranged = present.join(ranges, list(by)) if by else present.join(F.broadcast(ranges), F.lit(True))
+    low, high = F.min(value).alias("low"), F.max(value).alias("high")
+    if by:
+        ranged = present.join(present.groupBy(*by).agg(low, high), list(by))
+    else:
+        ends = present.agg(low, high).first()
+        ranged = present.withColumns({name: F.lit(ends[name]).cast("double") for name in ("low", "high")})
     number = bin_number(F.col(value), F.col("low"), F.col("high"), bins)
     return ranged.groupBy(*by, number.alias("bin"), "low", "high").agg(F.count("*").alias("cnt"))
 

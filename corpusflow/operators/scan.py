@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from corpusflow.scratch import reliable_checkpoint
+from corpusflow.scratch import stored
 
 # Rows that one window may hold.
 SCAN_BITS = 16
@@ -103,11 +103,11 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str
     Rows are range-partitioned on the full key, so a large group spreads over many
     tasks; each row's place in its task is known without a window.  The cut points of
     a range partitioning differ from one evaluation to the next, so the places are
-    fixed in a reliable checkpoint before they are used twice.
+    fixed in a stored table before they are used twice.
     """
     ranged = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
     # The id holds the partition in its upper 31 bits and the place in its lower 33.
-    placed = reliable_checkpoint(ranged.withColumn("_place", F.monotonically_increasing_id()))
+    placed = stored(ranged.withColumn("_place", F.monotonically_increasing_id()), "numbered")
     placed = placed.withColumn("_part", F.shiftright("_place", 33))
     runs = placed.groupBy(*by, "_part").agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
     # at most one row per group and range partition

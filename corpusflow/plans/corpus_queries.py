@@ -12,7 +12,7 @@ from corpusflow.operators import encode, pages as page_ops, rows, splits, vocab
 from corpusflow.operators.sampling import sample_blocks as draw_blocks, split_sizes
 from corpusflow.plans.char_corpus import char_encoder, char_pages, char_totals
 from corpusflow.plans.registry import query
-from corpusflow.scratch import scratch_path, through_table
+from corpusflow.scratch import scratch_path, stored
 from corpusflow.sinks.tables import append_registry, write_vocab
 from corpusflow.sources.dataset import read_dataset, read_encoder, read_vocab
 from corpusflow.sources.tables import read_documents, read_table, spread_documents
@@ -387,7 +387,7 @@ def subword_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages of the byte encoding with an end-of-text id after every document."""
     coded = subword.encode_subword(_one_split(spread_documents(spark, folder)), subword.byte_ranks())
     # offsets need the lengths that only the encoder knows, so it runs once into a table
-    pages = page_ops.token_pages(through_table(coded, "coded"))
+    pages = page_ops.token_pages(stored(coded, "coded"))
     ends = F.size(F.filter("ids", lambda i: i == 256))
     return pages.select("split", "page", F.size("ids").alias("size"), ends.alias("ends"))
 

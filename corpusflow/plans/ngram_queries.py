@@ -10,7 +10,7 @@ from corpusflow.operators.encode import CharEncoder
 from corpusflow.plans.char_corpus import char_encoder, char_pages
 from corpusflow.plans.corpus_queries import LONG, STREAM, VOCAB
 from corpusflow.plans.registry import query
-from corpusflow.scratch import reliable_checkpoint
+from corpusflow.scratch import stored
 from corpusflow.sources.tables import read_documents, read_table
 
 BIGRAMS = f"""
@@ -118,7 +118,7 @@ def cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     both = docs.unionByName(items)
     encoder = char_encoder(both)
     # read twice, and small beside the corpus
-    counts = reliable_checkpoint(ngram.fit_ngram(char_pages(both, encoder=encoder), by=["split"]))
+    counts = stored(ngram.fit_ngram(char_pages(both, encoder=encoder), by=["split"]), "counts")
     model = counts.where("split = 'train'").drop("split")
     scored = ngram.cross_entropy(counts, model, encoder.size)
     return scored.select("split", "targets", F.round("loss", 6).alias("loss"))

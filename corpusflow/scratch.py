@@ -35,17 +35,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder now and continue from the files."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table in the shared folder and go on from the table.
 
-
-def through_table(df: DataFrame, name: str) -> DataFrame:
-    """Store ``df`` as a parquet table in the shared folder and read it back.
-
-    For columns that are expensive to compute and read by several branches.
+    Cuts the lineage, survives the loss of executors, and lets every reader take only the
+    columns it needs.  For rows that several branches read, and for row numbers that must
+    not change between two evaluations.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -92,7 +92,7 @@ def test_draws_follow_the_distribution_and_repeat(spark, table):
 def test_certain_continuation_and_early_end(spark):
     certain = spark.createDataFrame([(0, 1, 3), (1, 2, 3), (2, 0, 3), (0, 5, 1), (7, 8, 1)], "ctx bigint, id int, cnt bigint")
     prompts = spark.createDataFrame([("a", [0]), ("b", [9, 2]), ("c", [7]), ("d", [])], "key string, ids array<int>")
-    longer = {r.key: r.ids for r in ngram.continue_prompts(prompts, certain, steps=11, top_k=1, checkpoint_every=4).collect()}
+    longer = {r.key: r.ids for r in ngram.continue_prompts(prompts, certain, steps=11, top_k=1, store_every=4).collect()}
     assert longer == {
         "a": [0, 1, 2, 0, 1, 2, 0, 1, 2, 0, 1, 2],
         "b": [9, 2, 0, 1, 2, 0, 1, 2, 0, 1, 2, 0, 1],

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.subword import byte_ranks
 from corpusflow.operators.vocab import build_vocab
-from corpusflow.scratch import checkpoint_root, scratch_path, through_table
+from corpusflow.scratch import checkpoint_root, scratch_path, stored
 from corpusflow.sinks.tables import write_vocab
 from corpusflow.sources.dataset import read_dataset, read_encoder, read_vocab
 from corpusflow.sources.tables import spread
@@ -57,6 +57,6 @@ def test_stored_vocabulary_decides_the_encoder(spark, tmp_path):
 def test_scratch(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert scratch_path(spark, "x").startswith(checkpoint_root(spark).rstrip("/"))
-    assert through_table(spark.range(5), "five").count() == 5
+    assert stored(spark.range(5), "five").count() == 5
     assert spread(spark.range(0, 10, 1, 1), "id").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert spread(spark.range(0, 10, 1, 64), "id").rdd.getNumPartitions() == 64
