@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from corpusflow.functions.hashing import hash_uniform
-from corpusflow.functions.lists import crop_context
+from corpusflow.functions.lists import crop_context, list_parts
 from corpusflow.scratch import stored
 
 # Fixed value: ids are 16 bit, so a context of up to three of them packs into a BIGINT.
 ID_SPAN = 65536
 MAX_ORDER = 4
+# Below this an n-gram indexes a table of counts (128 MiB at most) instead of being sorted.
+DENSE_GRAMS = 1 << 24
 
 
 def pack_context(ids: Column, size: int) -> Column:
@@ -23,14 +27,61 @@ def pack_context(ids: Column, size: int) -> Column:
     return packed
 
 
-def _grams(rows: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
-    grams_in = F.greatest(F.size("ids") - (n - 1), F.lit(0))
-    shifted = [F.slice("ids", F.lit(i + 1), grams_in).alias(f"t{i}") for i in range(n)]
-    grams = rows.select(*by, F.explode(F.arrays_zip(*shifted)).alias("g"))
-    packed = F.lit(0).cast("bigint")
-    for i in range(n - 1):
-        packed = packed * ID_SPAN + F.col(f"g.t{i}").cast("bigint")
-    return grams.select(*by, packed.alias("ctx"), F.col(f"g.t{n - 1}").alias("id"))
+def _gram_counts(rows: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
+    """Partial counts of the n-grams of every row, one Arrow batch at a time.
+
+    An n-gram of 16-bit ids is one 64-bit number, so counting a batch is counting equal
+    numbers; only its distinct n-grams leave the task.
+    """
+    fields = [rows.schema[name] for name in by]
+    result = T.StructType([*fields, T.StructField("ctx", T.LongType()), T.StructField("id", T.IntegerType()), T.StructField("cnt", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, ends = list_parts(batch.column(batch.num_columns - 1))
+            if len(values) < n:
+                continue
+            if values.min() < 0 or values.max() >= ID_SPAN:
+                raise ValueError(f"n-grams need ids from 0 to {ID_SPAN - 1}")
+            starts = np.concatenate([[0], ends[:-1]])
+            # an n-gram is known by its last id; the first n - 1 ids of a row end none
+            whole = np.ones(len(values), dtype=bool)
+            for i in range(n - 1):
+                whole[(starts + i)[starts + i < ends]] = False
+            grams = values[: len(values) - n + 1].astype(np.uint64)
+            for i in range(1, n):
+                grams = grams * np.uint64(ID_SPAN) + values[i : len(values) - n + 1 + i].astype(np.uint64)
+            whole = whole[n - 1 :]
+            groups: dict[tuple, list[int]] = {}
+            for row, key in enumerate(zip(*[batch.column(i).to_pylist() for i in range(len(by))])) if by else []:
+                groups.setdefault(key, []).append(row)
+            if len(groups) > 1:
+                owner = np.repeat(np.arange(len(ends)), ends - starts)[n - 1 :]
+            for key, members in groups.items() if by else [((), None)]:
+                chosen = whole
+                if len(groups) > 1:
+                    mine = np.zeros(len(ends), dtype=bool)
+                    mine[members] = True
+                    chosen = whole & mine[owner]
+                found, counts = _count_equal(grams[chosen])
+                columns = [pa.array([k] * len(found), type=batch.column(i).type) for i, k in enumerate(key)]
+                columns += [
+                    pa.array((found >> np.uint64(16)).astype(np.int64)),
+                    pa.array((found & np.uint64(ID_SPAN - 1)).astype(np.int32)),
+                    pa.array(counts.astype(np.int64)),
+                ]
+                yield pa.record_batch(columns, names=result.fieldNames())
+
+    return rows.select(*by, "ids").mapInArrow(run, result)
+
+
+def _count_equal(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers and how often each occurs; by table where they are small."""
+    if len(numbers) and numbers.max() < DENSE_GRAMS:
+        counts = np.bincount(numbers.astype(np.int64))
+        found = np.flatnonzero(counts)
+        return found.astype(np.uint64), counts[found]
+    return np.unique(numbers, return_counts=True)
 
 
 def fit_ngram(pages: DataFrame, n: int = 2, by: Sequence[str] = ()) -> DataFrame:
@@ -43,7 +94,7 @@ def fit_ngram(pages: DataFrame, n: int = 2, by: Sequence[str] = ()) -> DataFrame
     if not 1 <= n <= MAX_ORDER:
         raise ValueError(f"n must lie between 1 and {MAX_ORDER}")
     keys = list(dict.fromkeys([*by, "split"]))
-    grams = _grams(pages.select(*keys, "ids"), n, by)
+    counts = _gram_counts(pages.select(*keys, "ids"), n, by)
     if n > 1:
         edge = n - 1
         # the start of a page closes the border before it, its end opens the border behind it
@@ -62,8 +113,8 @@ def fit_ngram(pages: DataFrame, n: int = 2, by: Sequence[str] = ()) -> DataFrame
             .where(F.size("parts") == 2)
             .select(*keys, F.flatten(F.col("parts.part")).alias("ids"))
         )
-        grams = grams.unionByName(_grams(borders, n, by))
-    return grams.groupBy(*by, "ctx", "id").agg(F.count("*").alias("cnt"))
+        counts = counts.unionByName(_gram_counts(borders, n, by))
+    return counts.groupBy(*by, "ctx", "id").agg(F.sum("cnt").alias("cnt"))
 
 
 def top_k_ties(df: DataFrame, k: int, by: str | Sequence[str] = "ctx", score: str = "cnt") -> DataFrame:

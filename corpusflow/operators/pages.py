@@ -59,19 +59,21 @@ def cut_pages(df: DataFrame, page_size: int, split: str = "split", ids: str = "i
     last = F.expr(f"({start} + size({ids}) - 1) div {page_size}")
     # No filter on the ids: it would sink below the join and encode every text twice.
     touched = F.when(F.size(ids) > 0, F.sequence(first, last))
-
-    def piece(page: Column) -> Column:
-        skip = F.greatest(page * page_size - F.col(start), F.lit(0))
-        stop = F.least((page + 1) * page_size - F.col(start), F.size(ids).cast("bigint"))
-        return F.struct(
-            page.alias("page"),
-            F.greatest(F.col(start) - page * page_size, F.lit(0)).cast("int").alias("at"),
-            F.slice(ids, (skip + 1).cast("int"), (stop - skip).cast("int")).alias("part"),
-        )
-
-    pieces = df.select(split, F.explode(F.transform(touched, piece)).alias("p"))
+    begin = F.col("page") * page_size
+    skip = F.greatest(begin - F.col(start), F.lit(0))
+    stop = F.least(begin + page_size - F.col(start), F.size(ids).cast("bigint"))
+    # Pages are exploded before slicing: generated code then copies each slice once, where
+    # a lambda would box the whole array for every page.
     return (
-        pieces.select(split, F.col("p.page").alias("page"), F.struct("p.at", "p.part").alias("piece"))
+        df.select(split, start, ids, F.explode(touched).alias("page"))
+        .select(
+            split,
+            "page",
+            F.struct(
+                F.greatest(F.col(start) - begin, F.lit(0)).cast("int").alias("at"),
+                F.slice(ids, (skip + 1).cast("int"), (stop - skip).cast("int")).alias("part"),
+            ).alias("piece"),
+        )
         .groupBy(split, "page")
         .agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
         .select(split, "page", F.flatten(F.col("pieces.part")).alias("ids"))

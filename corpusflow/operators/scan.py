@@ -16,6 +16,8 @@ from corpusflow.scratch import stored
 
 # Rows that one window may hold.
 SCAN_BITS = 16
+# Rows of a few numbers each that are sent to every executor; more are joined by shuffle.
+BROADCAST_ROWS = 500_000
 
 _MERGE = {
     "sum": (F.sum, lambda a, b: a + b),
@@ -114,7 +116,10 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("_base", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     keys = [*by, "_part"]
-    numbered = placed.join(runs.select(*keys, "_first", "_base"), keys)
+    # Counted before it is broadcast: without the hint Spark plans a shuffle of all rows.
+    runs = stored(runs.select(*keys, "_first", "_base"), "runs")
+    small = runs.count() <= BROADCAST_ROWS
+    numbered = placed.join(F.broadcast(runs) if small else runs, keys)
     return numbered.select(*df.columns, (F.col("_base") + F.col("_place") - F.col("_first")).alias(out))
 
 

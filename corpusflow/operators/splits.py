@@ -18,14 +18,14 @@ def split_contiguous(
 ) -> DataFrame:
     """First ``floor(n * fraction)`` characters of the ordered corpus, and the rest.
 
-    The one document across the cut becomes two rows.  Only the place of the cut is
+    The one document across the cut becomes two rows; an earlier ``split`` is replaced.  Only the place of the cut is
     looked up (sums of lengths, nothing else); the texts themselves are never moved.
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie between 0 and 1")
     cut = find_position(df, F.length(text), order, fraction=fraction, bits=bits)
     first, second = (F.lit(n) for n in names)
-    rest = [c for c in df.columns if c != text]
+    rest = [c for c in df.columns if c not in (text, "split")]
     whole = F.col(text)
     if cut is None:
         return df.select(first.alias("split"), *rest, text)
@@ -63,4 +63,5 @@ def split_random(
     partitioning.  The share is approximate.
     """
     drawn = hash_uniform(F.lit(seed), F.col(key)) < fraction
-    return df.select(F.when(drawn, F.lit(names[1])).otherwise(F.lit(names[0])).alias("split"), "*")
+    rest = [c for c in df.columns if c != "split"]
+    return df.select(F.when(drawn, F.lit(names[1])).otherwise(F.lit(names[0])).alias("split"), *rest)

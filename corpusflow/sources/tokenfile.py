@@ -8,9 +8,9 @@ Writing has two layouts:
     last, lists the committed files in order.  Their bytes in that order are the flat
     file.  Works on any file system pyarrow knows.
 ``single``
-    Every task writes its pages at their places in ``{split}.bin`` itself, which needs
-    neither order nor shuffle.  A repeated task writes the same bytes again.  Needs a
-    POSIX folder that all executors share.
+    Every task writes its stretch of pages at its place in ``{split}.bin`` itself.  A
+    repeated task writes the same bytes again.  Needs a POSIX folder that all executors
+    share.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from corpusflow.functions.lists import list_parts
+
 # Fixed values of the format: unsigned 16-bit ids, little endian, no header.
 ID_TYPE = np.dtype("<u2")
 MAX_ID = 65535
@@ -46,7 +48,9 @@ SCHEMA = "split string, page bigint, ids array<int>"
 MANIFEST = "manifest.json"
 # Pages handed to Spark at a time, and tokens read by one task.
 BATCH_PAGES = 1024
-TASK_TOKENS = 32 * 1024 * 1024
+TASK_TOKENS = 16 * 1024 * 1024
+# Pages of one written file, by default 128 MiB.
+FILE_PAGES = 65536
 
 
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -206,19 +210,21 @@ class WrittenFiles(WriterCommitMessage):
     files: list[tuple[str, str, int, int, int]]
 
 
-def _page_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, np.ndarray]]:
-    """Pages as ``(split, page, bytes-ready ids)``, after the range check."""
+def _page_runs(batches: Iterator[pa.RecordBatch], page_size: int) -> Iterator[tuple[str, int, int, np.ndarray]]:
+    """Stretches of consecutive full pages as ``(split, first page, pages, ids)``, after the range check."""
     for batch in batches:
         splits = batch.column(batch.schema.get_field_index("split")).to_pylist()
         pages = batch.column(batch.schema.get_field_index("page")).to_pylist()
-        lists = batch.column(batch.schema.get_field_index("ids"))
-        values = lists.flatten().to_numpy(zero_copy_only=False)
+        values, ends = list_parts(batch.column(batch.schema.get_field_index("ids")))
         if len(values) and (values.min() < 0 or values.max() > MAX_ID):
             raise ValueError(f"id outside 0..{MAX_ID} does not fit a 16-bit token file")
-        ids, at = values.astype(ID_TYPE), 0
-        for split, page, length in zip(splits, pages, lists.value_lengths().to_pylist()):
-            yield split, page, ids[at : at + length]
-            at += length
+        ids, begin, at = values.astype(ID_TYPE), 0, 0
+        for i, end in enumerate(ends.tolist()):
+            last = i + 1 == len(pages)
+            full = end - (ends[i - 1] if i else 0) == page_size
+            if last or not full or splits[i + 1] != splits[i] or pages[i + 1] != pages[i] + 1:
+                yield splits[i], pages[begin], i + 1 - begin, ids[at:end]
+                begin, at = i + 1, end
 
 
 class PartsWriter(DataSourceArrowWriter):
@@ -234,7 +240,7 @@ class PartsWriter(DataSourceArrowWriter):
         done: list[tuple[str, str, int, int, int]] = []
         out, split, first, expected, tokens = None, "", 0, -1, 0
         try:
-            for name, page, ids in _page_rows(iterator):
+            for name, page, pages, ids in _page_runs(iterator, self.page_size):
                 if out is None or name != split or page != expected:
                     if out is not None:
                         out.close()
@@ -245,7 +251,7 @@ class PartsWriter(DataSourceArrowWriter):
                     out = fs.open_output_stream(posixpath.join(root, file))
                 out.write(ids.tobytes())
                 tokens += len(ids)
-                expected = page + 1
+                expected = page + pages
         finally:
             if out is not None:
                 out.close()
@@ -298,7 +304,7 @@ class SingleWriter(DataSourceArrowWriter):
         handles: dict[str, int] = {}
         totals: dict[str, list[int]] = {}
         try:
-            for split, page, ids in _page_rows(iterator):
+            for split, page, pages, ids in _page_runs(iterator, self.page_size):
                 if split not in handles:
                     handles[split] = os.open(self._unfinished(split), os.O_CREAT | os.O_WRONLY, 0o644)
                     totals[split] = [0, 0]
@@ -306,7 +312,7 @@ class SingleWriter(DataSourceArrowWriter):
                 while view:
                     n = os.pwrite(handles[split], view, at)
                     view, at = view[n:], at + n
-                totals[split][0] += 1
+                totals[split][0] += pages
                 totals[split][1] += len(ids)
         finally:
             for handle in handles.values():
@@ -378,23 +384,29 @@ def read_token_files(spark: SparkSession, path: str, page_size: int = 1024, task
     )
 
 
+def pages_per_file(tokens: int, page_size: int, tasks: int) -> int:
+    """Consecutive pages for one task, so that small stores still use ``tasks`` tasks."""
+    return max(1, min(FILE_PAGES, -(-tokens // page_size // tasks)))
+
+
 def write_token_files(
     pages: DataFrame,
     path: str,
     page_size: int = 1024,
     layout: str = "parts",
     mode: str = "append",
-    pages_per_file: int = 65536,
+    file_pages: int = FILE_PAGES,
 ) -> None:
-    """Write ``(split, page, ids)`` as flat token files; see the module for the layouts."""
+    """Write ``(split, page, ids)`` as flat token files; see the module for the layouts.
+
+    A task writes stretches of ``file_pages`` consecutive pages.  They are brought together
+    by their number, without the sampling pass that a range partitioning needs.
+    """
+    if layout not in ("parts", "single"):
+        raise ValueError(f"unknown layout {layout!r}")
     spark = pages.sparkSession
     spark.dataSource.register(TokenFiles)
     rows = pages.select("split", "page", F.col("ids").cast("array<int>").alias("ids"))
-    if layout == "parts":
-        # Consecutive pages to one task by number: no sampling pass as a range partitioning needs.
-        chunk = F.expr(f"page div {pages_per_file}")
-        rows = rows.repartition("split", chunk).sortWithinPartitions("split", "page")
-    elif layout != "single":
-        raise ValueError(f"unknown layout {layout!r}")
+    rows = rows.repartition("split", F.expr(f"page div {file_pages}")).sortWithinPartitions("split", "page")
     writer = rows.write.format("tokenfiles").mode(mode)
     writer.option("page_size", page_size).option("layout", layout).save(path)

@@ -17,7 +17,7 @@ from corpusflow.operators.vocab import build_vocab
 from corpusflow.plans.char_corpus import char_pages
 from pyspark.sql.datasource import GreaterThan, In
 
-from corpusflow.sources.tokenfile import TokenFileReader, read_token_files, write_token_files
+from corpusflow.sources.tokenfile import TokenFileReader, pages_per_file, read_token_files, write_token_files
 
 P = 8
 # shorter than a page, exactly a page, across three pages, an empty document between two others
@@ -82,7 +82,7 @@ def test_shards_match_array_split(coded, documents):
 def test_token_files_round_trip(spark, coded, streams, tmp_path, layout):
     path = str(tmp_path / "store")
     pages = token_pages(coded, P)
-    write_token_files(pages, path, page_size=P, layout=layout, pages_per_file=2)
+    write_token_files(pages, path, page_size=P, layout=layout, file_pages=2)
     back = read_token_files(spark, path, page_size=P, task_tokens=2 * P)
     assert joined(back) == joined(pages)
     other = read_token_files(spark, path, page_size=5, task_tokens=10)
@@ -114,7 +114,7 @@ def test_flat_file_is_what_numpy_expects(spark, coded, streams, tmp_path):
     write_token_files(token_pages(coded, P), str(tmp_path / "flat"), page_size=P, layout="single")
     for split, ids in streams.items():
         assert np.fromfile(tmp_path / "flat" / f"{split}.bin", dtype="<u2").tolist() == ids
-    write_token_files(token_pages(coded, P), str(tmp_path / "parts"), page_size=P, pages_per_file=3)
+    write_token_files(token_pages(coded, P), str(tmp_path / "parts"), page_size=P, file_pages=3)
     manifest = json.loads((tmp_path / "parts" / "manifest.json").read_text())
     for split, ids in streams.items():
         files = [f for f in manifest["files"] if f["split"] == split]
@@ -123,6 +123,12 @@ def test_flat_file_is_what_numpy_expects(spark, coded, streams, tmp_path):
         assert manifest["totals"][split] == len(ids)
 
 
+def test_pages_per_file():
+    assert pages_per_file(10**9, 1024, 8) == 65536
+    assert pages_per_file(1024 * 100, 1024, 8) == 13
+    assert pages_per_file(0, 1024, 8) == 1
+
+
 def test_overwrite_leaves_only_the_new_files(spark, coded, tmp_path):
     path = tmp_path / "store"
     pages = token_pages(coded, P)
