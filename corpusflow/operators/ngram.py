@@ -48,9 +48,11 @@ def _gram_counts(rows: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
             whole = np.ones(len(values), dtype=bool)
             for i in range(n - 1):
                 whole[(starts + i)[starts + i < ends]] = False
-            grams = values[: len(values) - n + 1].astype(np.uint64)
+            plain = values.view(np.uint32)
+            grams = plain[: len(values) - n + 1].astype(np.uint64)
             for i in range(1, n):
-                grams = grams * np.uint64(ID_SPAN) + values[i : len(values) - n + 1 + i].astype(np.uint64)
+                grams <<= np.uint64(16)
+                grams |= plain[i : len(values) - n + 1 + i]
             whole = whole[n - 1 :]
             groups: dict[tuple, list[int]] = {}
             for row, key in enumerate(zip(*[batch.column(i).to_pylist() for i in range(len(by))])) if by else []:
