@@ -31,10 +31,11 @@ def crop_context(ids: str | Column, block: int) -> Column:
     return F.when(F.size(ids) <= block, ids).otherwise(F.slice(ids, -block, block))
 
 
-def shift_pairs(ids: str | Column, block: int) -> tuple[Column, Column]:
+def shift_pairs(ids: str | Column, block: int | Column) -> tuple[Column, Column]:
     """Inputs and targets: ``x`` is the first ``block`` ids, ``y`` is ``x`` moved by one."""
     ids = F.col(ids) if isinstance(ids, str) else ids
-    return F.slice(ids, 1, block).alias("x"), F.slice(ids, 2, block).alias("y")
+    block = F.lit(block) if isinstance(block, int) else block
+    return F.slice(ids, F.lit(1), block).alias("x"), F.slice(ids, F.lit(2), block).alias("y")
 
 
 def array_total(values: str | Column) -> Column:

@@ -426,14 +426,15 @@ def crop_context(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-    SELECT doc_id, md5(substr(text, 1, 128)) AS x_digest, md5(substr(text, 2, 128)) AS y_digest
-    FROM documents WHERE length(text) > 128
+    SELECT doc_id, md5(substr(text, 1, length(text) - 1)) AS x_digest, md5(substr(text, 2)) AS y_digest
+    FROM documents WHERE length(text) > 0
 """)
 def shift_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """The first block of every document long enough, and the same moved by one, as text."""
+    """Inputs and targets over the whole of every document, as text."""
     docs = spread_documents(spark, folder)
     known = collect_vocab(vocab_ops.build_vocab(docs))
-    coded = encode.encode_chars(docs, known).where("len > 128").select("doc_id", *shifted("ids", 128))
+    coded = encode.encode_chars(docs.where("text <> ''"), known)
+    coded = coded.select("doc_id", *shifted("ids", F.col("len") - 1))
     return coded.select(
         "doc_id",
         F.md5(chars.decode_column("x", known)).alias("x_digest"),

@@ -181,7 +181,7 @@ def running_mfu(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-    WITH {LOG}, evals AS (SELECT run_id, iter, loss AS val FROM log WHERE iter % 3 = 0),
+    WITH {LOG}, evals AS (SELECT run_id, iter, loss AS val FROM log),
     best AS (
         SELECT *, coalesce(min(val) OVER (PARTITION BY run_id ORDER BY iter ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1e9) AS best
         FROM evals
@@ -189,7 +189,7 @@ def running_mfu(spark: SparkSession, folder: str) -> DataFrame:
     SELECT run_id, iter, val, best, iter > 0 AND val < best AS save FROM best
 """)
 def best_loss(spark: SparkSession, folder: str) -> DataFrame:
-    evals = runlog.every_n(run_log(spark, folder), 3).select("run_id", "iter", F.col("loss").alias("val"))
+    evals = run_log(spark, folder).select("run_id", "iter", F.col("loss").alias("val"))
     return runlog.best_so_far(evals).select("run_id", "iter", "val", "best", "save")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from corpusflow.functions.subword import Ranks
 from corpusflow.operators.encode import Encoder, pick_encoder
+from corpusflow.scratch import path_exists
 
 # Fixed value: files may be numbered as NAME-00000-of-00010.
 _NUMBERED = r"^(.*?)(-\d+-of-\d+)?(\.[A-Za-z0-9]+)*$"
@@ -28,7 +29,7 @@ def read_dataset(
     if schema is not None:
         reader = reader.schema(schema)
     path = f"{root.rstrip('/')}/{name}"
-    single = _exists(spark, f"{path}.{fmt}")
+    single = path_exists(spark, f"{path}.{fmt}")
     data = reader.load(f"{path}.{fmt}" if single else path)
     if single:
         split = F.lit("train")
@@ -39,14 +40,9 @@ def read_dataset(
     return data.select(split.alias("split"), *[c for c in data.columns if c != "split"])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(hadoop)
-
-
 def read_vocab(spark: SparkSession, path: str) -> DataFrame | None:
     """Stored vocabulary ``(id, ch)``, or None where there is none."""
-    return spark.read.parquet(path) if _exists(spark, path) else None
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def read_encoder(spark: SparkSession, path: str, ranks: Ranks | None = None) -> Encoder:

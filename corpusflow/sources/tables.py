@@ -12,9 +12,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     worked on by one core.  Meant for work per character; lengths and keys are cheaper
     to take from the scan itself.
     """
+    execution = df._jdf.queryExecution()
+    if execution.executedPlan().nodeName().startswith("AdaptiveSparkPlan"):
+        return df  # shuffled already, and asking for its partitions would run it
     wanted = df.sparkSession.sparkContext.defaultParallelism
-    scanned = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df if scanned >= wanted else df.repartition(wanted, key)
+    return df if execution.toRdd().getNumPartitions() >= wanted else df.repartition(wanted, key)
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

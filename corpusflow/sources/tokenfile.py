@@ -283,10 +283,11 @@ class PartsWriter(DataSourceArrowWriter):
             fs.delete_file(posixpath.join(root, entry["file"]))
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        # failed tasks send no message, so the job's number in the name finds their files
         fs, root = _filesystem(self.path)
-        for message in messages:
-            for _, file, *_ in message.files if message is not None else []:
-                fs.delete_file(posixpath.join(root, file))
+        for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True, recursive=True)):
+            if info.type == pafs.FileType.File and f"-{self.job}-" in info.base_name:
+                fs.delete_file(info.path)
 
 
 class SingleWriter(DataSourceArrowWriter):
@@ -332,9 +333,9 @@ class SingleWriter(DataSourceArrowWriter):
             os.replace(self._unfinished(split), os.path.join(self.root, f"{split}.bin"))
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        for split in {f[0] for m in messages if m is not None for f in m.files}:
-            if os.path.exists(self._unfinished(split)):
-                os.remove(self._unfinished(split))
+        for entry in os.scandir(self.root) if os.path.isdir(self.root) else ():
+            if entry.name.endswith(f".{self.job}.tmp"):
+                os.remove(entry.path)
 
 
 def _local_root(path: str) -> str:

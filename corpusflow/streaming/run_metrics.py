@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusflow.operators.runlog import ema, seconds_between, step_dt
 from corpusflow.operators.scan import number_rows
+from corpusflow.scratch import delete_path
 
 STATE = "run_id bigint, last_ts timestamp, last_event bigint, last_ema double, iters bigint"
 
@@ -69,6 +70,8 @@ class RunMetricsSink:
             F.coalesce("count", "iters").alias("iters"),
         )
         after.write.mode("overwrite").parquet(f"{self.path}/state/batch={batch}")
+        # a repetition of this batch needs the state before it, nothing needs older ones
+        delete_path(spark, f"{self.path}/state/batch={batch - 2}")
 
 
 def stream_run_metrics(events: DataFrame, path: str, alpha: float = 0.1) -> StreamingQuery:
