@@ -1,7 +1,7 @@
 """Queries over a training log, read from ``events``: run = user, loss = value.
 
 The iteration is the place of an event in its run, ordered by ``(ts, event_id)``.
-Averages are taken over sevenths of the values: unlike the values themselves these are no
+Averages are taken over pi times the values: unlike the values themselves these are no
 short decimal fractions, so that rounding never meets a tie.
 """
 
@@ -32,8 +32,8 @@ LOG = """
 STEPS = f"""
     WITH {LOG},
     steps AS (
-        SELECT run_id, iter // 4 AS iter, list(loss / 7 ORDER BY iter) AS dt, list(loss / 21 ORDER BY iter) AS dtf,
-               list(loss / 7 - loss / 21 ORDER BY iter) AS dtb
+        SELECT run_id, iter // 4 AS iter, list(loss * pi() ORDER BY iter) AS dt, list(loss * pi() / 3 ORDER BY iter) AS dtf,
+               list(loss * pi() - loss * pi() / 3 ORDER BY iter) AS dtb
         FROM log GROUP BY run_id, iter // 4
     )"""
 GAS = 4
@@ -55,9 +55,9 @@ def micro_steps(spark: SparkSession, folder: str) -> DataFrame:
     return steps.select(
         "run_id",
         "iter",
-        F.transform(loss, lambda v: v / 7).alias("dt"),
-        F.transform(loss, lambda v: v / 21).alias("dtf"),
-        F.transform(loss, lambda v: v / 7 - v / 21).alias("dtb"),
+        F.transform(loss, lambda v: v * F.pi()).alias("dt"),
+        F.transform(loss, lambda v: v * F.pi() / 3).alias("dtf"),
+        F.transform(loss, lambda v: v * F.pi() - v * F.pi() / 3).alias("dtb"),
     )
 
 
@@ -160,9 +160,9 @@ _EMA = """round(list_reduce(
         lambda old, new: 0.9::DOUBLE * old + 0.1::DOUBLE * new), 6)"""
 
 
-@query(f"WITH {LOG} SELECT run_id, iter, {_EMA.format('loss / 7')} AS ema FROM log")
+@query(f"WITH {LOG} SELECT run_id, iter, {_EMA.format('loss * pi()')} AS ema FROM log")
 def ema_loss(spark: SparkSession, folder: str) -> DataFrame:
-    return runlog.ema(run_log(spark, folder).withColumn("loss", F.col("loss") / 7)).select("run_id", "iter", F.round("ema", 6).alias("ema"))
+    return runlog.ema(run_log(spark, folder).withColumn("loss", F.col("loss") * F.pi())).select("run_id", "iter", F.round("ema", 6).alias("ema"))
 
 
 @query(f"""
@@ -193,9 +193,9 @@ def best_loss(spark: SparkSession, folder: str) -> DataFrame:
     return runlog.best_so_far(evals).select("run_id", "iter", "val", "best", "save")
 
 
-@query("SELECT event_type AS split, round(avg(value / 7), 6) AS loss FROM events GROUP BY event_type")
+@query("SELECT event_type AS split, round(avg(value * pi()), 6) AS loss FROM events GROUP BY event_type")
 def mean_loss(spark: SparkSession, folder: str) -> DataFrame:
-    losses = read_table(spark, folder, "events").select(F.col("event_type").alias("split"), (F.col("value") / 7).alias("loss"))
+    losses = read_table(spark, folder, "events").select(F.col("event_type").alias("split"), (F.col("value") * F.pi()).alias("loss"))
     return runlog.mean_loss(losses).select("split", F.round("loss", 6).alias("loss"))
 
 
@@ -212,9 +212,9 @@ def timer_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-    SELECT user_id AS run_id, round(sum(value / 7), 5) AS dt_tot, round(avg(value / 7), 5) AS dt_avg,
-           round(sum(value / 21), 5) AS dtf_tot, round(avg(value / 21), 5) AS dtf_avg,
-           round(sum(value / 7 - value / 21), 5) AS dtb_tot, round(avg(value / 7 - value / 21), 5) AS dtb_avg
+    SELECT user_id AS run_id, round(sum(value * pi()), 5) AS dt_tot, round(avg(value * pi()), 5) AS dt_avg,
+           round(sum(value * pi() / 3), 5) AS dtf_tot, round(avg(value * pi() / 3), 5) AS dtf_avg,
+           round(sum(value * pi() - value * pi() / 3), 5) AS dtb_tot, round(avg(value * pi() - value * pi() / 3), 5) AS dtb_avg
     FROM events GROUP BY user_id
 """)
 def timer_totals(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,20 +224,20 @@ def timer_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
     SELECT key, round(value, 5) AS value FROM (
-        SELECT 'loss' AS key, avg(value / 7) AS value FROM events
-        UNION ALL SELECT 'high/loss', avg(value / 7) FILTER (WHERE value > 50) FROM events
-        UNION ALL SELECT 'high/k', avg(CAST(json_extract(props, '$.k') AS BIGINT) / 7) FROM events
+        SELECT 'loss' AS key, avg(value * pi()) AS value FROM events
+        UNION ALL SELECT 'high/loss', avg(value * pi()) FILTER (WHERE value > 50) FROM events
+        UNION ALL SELECT 'high/k', avg(CAST(json_extract(props, '$.k') AS BIGINT) * pi()) FROM events
     )
 """)
 def average_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Means over nested metrics, one of them missing in some rows and one in all."""
     events = read_table(spark, folder, "events")
     nest = F.struct(
-        F.when(F.col("value") > 50, F.col("value") / 7).alias("loss"),
-        (F.get_json_object("props", "$.k").cast("int") / 7).alias("k"),
+        F.when(F.col("value") > 50, F.col("value") * F.pi()).alias("loss"),
+        (F.get_json_object("props", "$.k").cast("int") * F.pi()).alias("k"),
         F.lit(None).cast("double").alias("none"),
     )
-    averaged = runlog.average_metrics(events.select((F.col("value") / 7).alias("loss"), nest.alias("high")))
+    averaged = runlog.average_metrics(events.select((F.col("value") * F.pi()).alias("loss"), nest.alias("high")))
     return averaged.select("key", F.round("value", 5).alias("value"))
 
 

@@ -18,12 +18,12 @@ from corpusflow.streaming.tokenize import stream_tokenize
 
 @query(f"""
     WITH {LOG}
-    SELECT run_id, iter, event_id, round(dt, 6) AS dt, {_EMA.format('loss / 7')} AS ema FROM timed
+    SELECT run_id, iter, event_id, round(dt, 6) AS dt, {_EMA.format('loss * pi()')} AS ema FROM timed
 """)
 def stream_ema(spark: SparkSession, folder: str) -> DataFrame:
     """Three thirds of the log arrive one after the other; the stream is stopped and resumed in between."""
     events = read_table(spark, folder, "events").select(
-        F.col("user_id").alias("run_id"), F.col("ts").cast("timestamp").alias("ts"), "event_id", (F.col("value") / 7).alias("loss")
+        F.col("user_id").alias("run_id"), F.col("ts").cast("timestamp").alias("ts"), "event_id", (F.col("value") * F.pi()).alias("loss")
     )
     low, high = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
     inbox, out = scratch_path(spark, "inbox"), scratch_path(spark, "run-metrics")
