@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusflow.ship import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -16,8 +19,13 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     """Register a function ``(spark, folder) -> DataFrame`` under its name."""
 
     def register(fn: Query) -> Query:
+        @wraps(fn)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, folder)
+
         key = name or fn.__name__
-        QUERIES[key] = fn
+        QUERIES[key] = run
         if sql is not None:
             ORACLES[key] = sql
         return fn
