@@ -1,8 +1,9 @@
 """Toxic documents by a gapped-subsequence string kernel.
 
 The kernel of two words counts the runs of ``ORDER`` letters, in order, that both hold
-within ``SPAN`` positions; a run that spreads over more positions counts less.  Inserted
-characters, spaced-out letters and look-alike digits so leave most of an insult's value.
+within ``SPAN`` positions, word ends being letters too; a run that spreads over more
+positions counts less.  Inserted letters, spaced-out letters, signs between letters and
+look-alike digits so leave most of an insult's value.
 An SVM is trained in the space of Nystroem landmarks.  As the kernel has an explicit map to
 runs of letters, the trained vector folds back into one weight per run, and a whole text is
 scored by table look-ups, without cutting it.
@@ -34,28 +35,30 @@ from pyspark.sql import functions as F
 
 from corpusflow.scratch import stored
 
-ORDER = 4
-SPAN = 6
+ORDER = 3
+SPAN = 5
 DECAY = 0.7
-LANDMARKS = 256
+LANDMARKS = 384
 FIT_TOXIC, FIT_CLEAN = 3_000, 6_000
-WORDS = 30_000
+WORDS = 40_000
 ROUNDS = 4
+COST = 4.0
 THRESHOLD = 0.3
-FILLER = 31
+SIGN = 31
+LONGEST = 40
 DIM = 1 << (5 * ORDER)
 PIECE = 1 << 20
 
 #: Signs that stand for letters.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
-#: Offsets of the letters after the first, and the run's weight.
-PATTERNS = [((0, *rest), DECAY ** rest[-1]) for rest in combinations(range(1, SPAN), ORDER - 1)]
+#: Positions of a run's letters after the first, by the last of them.
+PATTERNS = {last: [(*inner, last) for inner in combinations(range(1, last), ORDER - 2)] for last in range(ORDER - 1, SPAN)}
 
 
 def _letter_codes() -> np.ndarray:
-    """Code of every character of the first plane: 0 ends a word, 31 only fills a position."""
-    codes = np.full(1 << 16, FILLER, np.uint8)
+    """Code of every character of the first plane: 0 ends a word, 31 is a sign to be passed over."""
+    codes = np.full(1 << 16, SIGN, np.uint8)
     for point in range(1 << 16):
         char = chr(point)
         if char.isspace():
@@ -72,56 +75,61 @@ LETTERS = _letter_codes()
 
 
 def coded(text: str) -> np.ndarray:
-    """Letter codes of a text, word ends around, spaced-out letters drawn together."""
+    """Letter codes of a text with a word end on either side; signs are left out, spaced-out letters closed up."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = np.zeros(len(points) + 2, np.uint8)
     codes[1:-1] = LETTERS[np.minimum(points, 0xFFFF)]
+    codes = codes[codes != SIGN]
     gap = codes == 0
     lone = np.zeros(len(codes), bool)
-    lone[1:-1] = gap[:-2] & ~gap[1:-1] & gap[2:] & (codes[1:-1] < FILLER)
-    # a space between two lone letters closes up if a third one stands beside them
-    pair = np.zeros(len(codes), bool)
-    pair[1:-1] = lone[:-2] & gap[1:-1] & lone[2:]
-    close = pair.copy()
-    close[2:] &= False
-    close[:-2] |= pair[:-2] & pair[2:]
-    close[2:] |= pair[2:] & pair[:-2]
-    close &= pair
-    codes[close] = FILLER
-    return codes
-
-
-def run_index(codes: np.ndarray, word: np.ndarray, offsets: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the run of letters at each position, and whether there is one inside a word."""
-    n = len(codes) - offsets[-1]
-    at = [codes[o : o + n] for o in offsets]
-    index = at[0].astype(np.int32)
-    good = (at[0] > 0) & (at[0] < FILLER) & (word[:n] == word[offsets[-1] : offsets[-1] + n])
-    for c in at[1:]:
-        index = (index << 5) | c
-        good &= c < FILLER
-    return index, good
+    lone[1:-1] = gap[:-2] & ~gap[1:-1] & gap[2:]
+    between = np.zeros(len(codes), bool)
+    between[1:-1] = lone[:-2] & gap[1:-1] & lone[2:]
+    close = np.zeros(len(codes), bool)  # the spaces of three lone letters in a row
+    close[2:] |= between[2:] & between[:-2]
+    close[:-2] |= between[:-2] & between[2:]
+    return codes[~close]
+
+
+def _runs(codes: np.ndarray) -> Iterator[tuple[float, np.ndarray, list[np.ndarray]]]:
+    """For each length: weight, positions at which a run of it may start, and indexes of the runs there."""
+    end = codes == 0
+    word, wide = np.cumsum(end), codes.astype(np.int32)
+    for last, patterns in PATTERNS.items():
+        n = len(codes) - last
+        if n <= 0:
+            continue
+        ahead = word[last:]
+        inside = (ahead == word[:n]) | (end[last:] & (ahead == word[:n] + 1))  # no word end but at the run's own ends
+        indexes = []
+        for offsets in patterns:
+            index = wide[:n]
+            for o in offsets:
+                index = (index << 5) | wide[o : o + n]
+            indexes.append(index)
+        yield DECAY**last, inside, indexes
 
 
 def word_values(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Value of every word of a coded text: normalised kernel sum, without the bias."""
-    gap = codes == 0
-    word = np.cumsum(gap)
-    total, norm = np.zeros(word[-1] + 1), np.zeros(word[-1] + 1)
-    for offsets, weight in PATTERNS:
-        if len(codes) <= offsets[-1]:
-            continue
-        index, good = run_index(codes, word, offsets)
-        here = np.flatnonzero(good)
-        at = word[here]
-        total += weight * np.bincount(at, weights[index[here]], len(total))
-        norm += weight * weight * np.bincount(at, minlength=len(total))
-    return total[norm > 0] / np.sqrt(norm[norm > 0])
+    total, norm = np.zeros(len(codes), np.float32), np.zeros(len(codes), np.float32)
+    for weight, inside, indexes in _runs(codes):
+        part = weights[indexes[0]]
+        for index in indexes[1:]:
+            part += weights[index]
+        part *= inside
+        total[: len(part)] += np.float32(weight) * part
+        norm[: len(part)] += np.float32(weight * weight * len(indexes)) * inside
+    starts = np.flatnonzero(codes == 0)
+    if not len(starts):
+        return np.empty(0)
+    total, norm = np.add.reduceat(total, starts), np.add.reduceat(norm, starts)
+    return (total[norm > 0] / np.sqrt(norm[norm > 0])).astype(np.float64)
 
 
 def text_value(text: str | None, weights: np.ndarray, bias: float) -> tuple[float, int]:
     """The worst word's value and the number of words with a value above zero, over the whole text."""
-    worst, count, floor = -1.0, 0, -1.0
+    worst, count = -1.0, 0
     text, at = text or "", 0
     while at < len(text):
         end = min(len(text), at + PIECE)
@@ -132,7 +140,7 @@ def text_value(text: str | None, weights: np.ndarray, bias: float) -> tuple[floa
             worst = max(worst, float(values.max()))
             count += int((values > 0).sum())
         at = end
-    return max(worst, floor), count
+    return worst, count
 
 
 @dataclass
@@ -152,12 +160,11 @@ def runs_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``row, index, value`` of the normalised run features of coded words."""
     rows, columns, values = [], [], []
     codes = np.frombuffer(b"\0".join([b"", *words, b""]), np.uint8)
-    word = np.cumsum(codes == 0)
-    for offsets, weight in PATTERNS:
-        if len(codes) > offsets[-1]:
-            index, good = run_index(codes, word, offsets)
-            here = np.flatnonzero(good)
-            rows.append(word[here] - 1)
+    word = np.cumsum(codes == 0) - 1
+    for weight, inside, indexes in _runs(codes):
+        here = np.flatnonzero(inside)
+        for index in indexes:
+            rows.append(word[here])
             columns.append(index[here])
             values.append(np.full(len(here), weight, np.float32))
     if not rows:
@@ -194,9 +201,10 @@ def squared_hinge_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int
     ridge[-1, -1] = 1e-3
     active = np.ones(len(x), bool)
     for _ in range(steps):
-        xa, ca = x[active], cost[active]
-        w = np.linalg.solve(ridge + (xa * ca[:, None]).T @ xa, (xa * ca[:, None]).T @ y[active])
-        now = y * (x @ w) < 1
+        xa, ca = x[active], cost[active].astype(np.float32)
+        weighed = xa * ca[:, None]
+        w = np.linalg.solve(ridge + (weighed.T @ xa).astype(np.float64), (weighed.T @ y[active].astype(np.float32)).astype(np.float64))
+        now = y * (x @ w.astype(np.float32)) < 1
         if np.array_equal(now, active) or not now.any():
             break
         active = now
@@ -206,29 +214,34 @@ def squared_hinge_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int
 def train_words(clean: list[bytes], suspects: list[tuple[int, bytes, int]]) -> tuple[np.ndarray, float]:
     """Run weights and bias from clean words and ``(document, word, toxic documents)`` suspects."""
     docs, words, spread = (list(c) for c in zip(*suspects, strict=True))
-    frequent = sorted({w for w, n in zip(words, spread, strict=True) if n > 1}) or sorted(set(words))
+    wide = sorted({(-n, w) for w, n in zip(words, spread, strict=True)})
     half = LANDMARKS // 2
     take = lambda pool, n: [pool[i] for i in np.unique(np.linspace(0, len(pool) - 1, min(n, len(pool))).astype(int))]
-    marks = take(frequent, half) + take(sorted(clean), half)
+    marks = [w for _, w in wide[:half]] + take(sorted(clean), half)
     values, vectors = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
     held = values > 1e-6 * values[-1]
     whiten = vectors[:, held] / np.sqrt(values[held])
-    bias = lambda z: np.c_[z, np.ones(len(z))]
-    negative, positive = bias(kernel(clean, marks) @ whiten), bias(kernel(words, marks) @ whiten)
+    mapped = lambda w: np.c_[kernel(w, marks) @ whiten.astype(np.float32), np.ones(len(w), np.float32)]
+    negative, positive = mapped(clean), mapped(words)
     docs, spread = np.array(docs), np.array(spread)
-    order = np.lexsort((-spread, docs))
-    witness = order[np.r_[True, docs[order][1:] != docs[order][:-1]]]  # at first the most widespread suspect
+
+    def best(value: np.ndarray) -> np.ndarray:
+        order = np.lexsort((-value, docs))
+        return order[np.r_[True, docs[order][1:] != docs[order][:-1]]]
+
+    witness = best(spread)  # at first the most widespread suspect
+    witness = witness[spread[witness] > 1] if (spread[witness] > 1).any() else witness
     w = np.zeros(positive.shape[1])
     for _ in range(ROUNDS):
         x = np.r_[negative, positive[witness]]
         y = np.r_[-np.ones(len(negative)), np.ones(len(witness))]
-        w = squared_hinge_svm(x, y, np.where(y > 0, 1.0, 1.0))
-        value = positive @ w
-        order = np.lexsort((-value, docs))
-        witness = order[np.r_[True, docs[order][1:] != docs[order][:-1]]]
-        witness = witness[value[witness] > -0.5]  # documents that nothing explains stay out
-        if not len(witness):
+        w = squared_hinge_svm(x, y, np.full(len(y), COST))
+        value = positive @ w.astype(np.float32)
+        found = best(value)
+        found = found[value[found] > -0.25]  # documents that nothing explains stay out
+        if not len(found):
             break
+        witness = found
     row, column, v = runs_of(marks)
     folded = np.zeros(DIM, np.float32)
     np.add.at(folded, column, (v * (whiten @ w[:-1])[row]).astype(np.float32))
@@ -250,7 +263,7 @@ def fit_logistic(value: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for doc, toxic, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            words = sorted({w for w in coded(text or "").tobytes().split(b"\0") if ORDER <= len(w) <= 40})
+            words = sorted({w for w in coded(text or "").tobytes().split(b"\0") if ORDER <= len(w) <= LONGEST})
             if words:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([doc] * len(words), pa.int64()), pa.array([toxic] * len(words), pa.int32()), pa.array(words, pa.binary())], ["doc_id", "toxic", "word"]
@@ -267,7 +280,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicModel:
     sample = stored(docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id"), "sample")
     words = stored(sample.where("half = 0").select("doc_id", "toxic", "text").mapInArrow(_distinct_words, "doc_id long, toxic int, word binary"), "words")
     counts = words.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
-    clean = [bytes(r.word) for r in counts.where("c > 0").orderBy(F.xxhash64("word"), "word").limit(WORDS).collect()]
+    known_clean = counts.where("c > 0")
+    common, others = known_clean.orderBy(F.desc("c"), "word").limit(WORDS // 2), known_clean.orderBy(F.xxhash64("word"), "word").limit(WORDS // 2)
+    clean = sorted({bytes(r.word) for r in common.unionByName(others).collect()})
     only = counts.where("c = 0").select("word", "t")
     rows = words.where("toxic = 1").join(only, "word").select("doc_id", "word", "t").orderBy(F.desc("t"), F.xxhash64("word"), "doc_id").limit(2 * WORDS).collect()
     share = known.agg(F.avg("toxic")).first()[0] or 0.0
