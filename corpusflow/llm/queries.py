@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from corpusflow.llm import oracles
 from corpusflow.llm.decontaminate import contamination
 from corpusflow.llm.entropy_mix import mixed
+from corpusflow.llm.language_svm import identify, train_languages
+from corpusflow.llm.outliers import outliers
+from corpusflow.llm.quality_trees import score_quality, train_quality
 from corpusflow.llm.secret_scan import scan_secrets
+from corpusflow.llm.sentence_spans import remove_repeated_spans
 from corpusflow.llm.simhash import simhash_components
 from corpusflow.llm.toxicity import score_toxicity, train_toxicity
 from corpusflow.plans.registry import Query
@@ -36,6 +40,18 @@ def fold(modulus: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
 
 
+@query
+def op1_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    return outliers(read_table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
+
+
+@query
+def op2_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeated_spans(read_table(spark, folder, "documents").select("doc_id", "text"))
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return found.select("doc_id", "n_sentences", "n_removed", "n_words", "n_words_removed", F.sha2(text, 256).alias("kept_sha256"))
+
+
 @query
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_components(read_table(spark, folder, "documents").select("doc_id", "text"), shingle=3, radius=3)
@@ -53,6 +69,21 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(read_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query
+def op6_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    labels = read_table(spark, folder, "labels").select("doc_id", "quality")
+    forest = train_quality(docs, labels.where(fold(5) != 0))
+    return score_quality(docs, forest, ["doc_id"]).select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op7_language_svm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = train_languages(docs.where(fold(4) != 2).select("text", "lang"))
+    return identify(docs, model, ["doc_id"]).select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op9_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     found = mixed(read_table(spark, folder, "documents").select("doc_id", "text", "source"))
