@@ -17,7 +17,9 @@ from corpusflow.llm.secret_scan import scan_secrets
 from corpusflow.llm.sentence_spans import remove_repeated_spans
 from corpusflow.llm.simhash import simhash_components
 from corpusflow.llm.toxicity import score_toxicity, train_toxicity
+from corpusflow.llm.warc_chain import page_records, read_archive, write_archive
 from corpusflow.plans.registry import Query
+from corpusflow.scratch import scratch_path
 from corpusflow.ship import ship_package
 from corpusflow.sources.tables import read_table
 
@@ -84,6 +86,13 @@ def op7_language_svm(spark: SparkSession, folder: str) -> DataFrame:
     return identify(docs, model, ["doc_id"]).select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op8_warc_chain(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "archive")
+    write_archive(read_table(spark, folder, "pages").select("page_id", "url", "html"), path, least_bytes=0)
+    return page_records(read_archive(spark, path))
+
+
 @query
 def op9_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     found = mixed(read_table(spark, folder, "documents").select("doc_id", "text", "source"))
