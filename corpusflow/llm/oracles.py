@@ -1,5 +1,44 @@
-"""SQL for the queries that SQL can express."""
+"""SQL for the queries that SQL can express.
+
+The other queries rest on hashes, learned models or iterations without an SQL form; tests
+hold them against brute force.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+DECONTAMINATE = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, len, array_to_string(list_slice(w, i, i + len - 1), ' ') AS t
+  FROM (SELECT item_id, w, least(10, len(w)) AS len, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+),
+lens AS (SELECT DISTINCT len FROM win),
+occ AS (
+  SELECT rid, s, len, array_to_string(list_slice(w, s, s + len - 1), ' ') AS t
+  FROM (SELECT rid, w, lens.len, unnest(range(1, len(w) - lens.len + 2)) AS s FROM d JOIN lens ON len(d.w) >= lens.len)
+),
+hit AS (SELECT occ.rid, occ.s, occ.len, win.item_id FROM occ JOIN win ON occ.len = win.len AND occ.t = win.t),
+words AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + len)) AS p FROM (SELECT DISTINCT rid, s, len FROM hit)) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hit) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+"""
+
+WARC = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h, coalesce(html, '') AS payload FROM pages),
+f AS (SELECT payload, min(page_id) AS first_id FROM p GROUP BY payload)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, (i // 4 * 5 + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to,
+  TRUE AS digest_holds
+FROM p JOIN f USING (payload)
+"""
+
+ORACLES: dict[str, str] = {"op4_decontaminate": DECONTAMINATE, "op8_warc_chain": WARC}
