@@ -38,9 +38,9 @@ from corpusflow.scratch import stored
 ORDER = 3
 SPAN = 5
 DECAY = 0.7
-LANDMARKS = 384
+LANDMARKS = 320
 FIT_TOXIC, FIT_CLEAN = 3_000, 6_000
-WORDS = 40_000
+WORDS = 24_000
 ROUNDS = 4
 COST = 4.0
 THRESHOLD = 0.3
@@ -221,7 +221,14 @@ def train_words(clean: list[bytes], suspects: list[tuple[int, bytes, int]]) -> t
     values, vectors = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
     held = values > 1e-6 * values[-1]
     whiten = vectors[:, held] / np.sqrt(values[held])
-    mapped = lambda w: np.c_[kernel(w, marks) @ whiten.astype(np.float32), np.ones(len(w), np.float32)]
+    narrow = whiten.astype(np.float32)
+
+    def mapped(group: list[bytes]) -> np.ndarray:
+        out = np.ones((len(group), narrow.shape[1] + 1), np.float32)
+        for at in range(0, len(group), 2_000):
+            out[at : at + 2_000, :-1] = kernel(group[at : at + 2_000], marks) @ narrow
+        return out
+
     negative, positive = mapped(clean), mapped(words)
     docs, spread = np.array(docs), np.array(spread)
 
@@ -229,7 +236,7 @@ def train_words(clean: list[bytes], suspects: list[tuple[int, bytes, int]]) -> t
         order = np.lexsort((-value, docs))
         return order[np.r_[True, docs[order][1:] != docs[order][:-1]]]
 
-    witness = best(spread)  # at first the most widespread suspect
+    witness = best(spread)  # at first the most widespread suspect, if several toxic documents hold it
     witness = witness[spread[witness] > 1] if (spread[witness] > 1).any() else witness
     w = np.zeros(positive.shape[1])
     for _ in range(ROUNDS):
