@@ -39,6 +39,7 @@ from corpusflow.scratch import stored
 MAGIC = b"WARC/1.0\r\n"
 GAP = b"\r\n\r\n"
 CHUNK = 4 << 20
+TASK_CHUNKS = 32
 HEADER = 1 << 16
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
@@ -188,6 +189,15 @@ def _chunks(spark: SparkSession, path: str, chunk: int) -> DataFrame:
     return files.select("path", "size", starts)
 
 
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """The stored rows over tasks of up to about ``TASK_CHUNKS`` chunks each, all cores busy first.
+
+    A row is a few bytes and stands for a chunk of work, which sizes of rows do not show.
+    """
+    count, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(1, min(count, max(2 * cores, -(-count // TASK_CHUNKS)))), *keys)
+
+
 def chain_entries(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
     """``path, size, entry, exit``: the first real record of every chunk that has one, and where its chain leaves."""
 
@@ -202,7 +212,7 @@ def chain_entries(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFra
                     arrays = [[name] * rows, [size] * rows, [a for a, _ in found], [b for _, b in found]]
                     yield pa.RecordBatch.from_arrays([pa.array(a, t) for a, t in zip(arrays, (pa.string(), *[pa.int64()] * 3), strict=True)], ["path", "size", "entry", "exit"])
 
-    chunks = stored(_chunks(spark, path, chunk), "chunks").repartition("path", "start")
+    chunks = _dealt(stored(_chunks(spark, path, chunk), "chunks"), "path", "start")
     candidates = stored(chunks.mapInArrow(work, "path string, size long, entry long, exit long"), "candidates")
     reached = candidates.where("entry = 0")
     jumps = candidates.select("path", "entry", "exit")
@@ -235,7 +245,7 @@ def read_archive(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFram
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [f.split()[0] for f in schema.split(", ")])
 
-    return entries.select("path", "size", "entry").repartition("path", "entry").mapInArrow(work, schema)
+    return _dealt(entries, "path", "entry").select("path", "size", "entry").mapInArrow(work, schema)
 
 
 def chunk_records(file: _Range, size: int, entry: int, end: int) -> Iterator[tuple]:
