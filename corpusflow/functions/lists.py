@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
@@ -39,13 +40,18 @@ def shift_pairs(ids: str | Column, block: int | Column) -> tuple[Column, Column]
 
 
 def array_total(values: str | Column) -> Column:
-    """Sum of an array of numbers."""
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v.cast("double"))
+    """Sum of an array of numbers; missing elements are skipped."""
+    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + F.coalesce(v.cast("double"), F.lit(0.0)))
+
+
+def array_count(values: str | Column) -> Column:
+    """Number of elements that are not missing; NULL for a missing array."""
+    return F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, v: acc + v.isNotNull().cast("bigint"))
 
 
 def array_mean(values: str | Column) -> Column:
-    """Mean of an array of numbers; NULL for an empty array."""
-    return F.when(F.size(values) > 0, array_total(values) / F.size(values))
+    """Mean of an array of numbers without its missing elements; NULL if none is left."""
+    return array_total(values) / F.nullif(array_count(values), F.lit(0))
 
 
 def bin_number(value: Column, low: Column, high: Column, bins: int) -> Column:
@@ -68,20 +74,33 @@ def bin_number(value: Column, low: Column, high: Column, bins: int) -> Column:
 
 
 def array_histogram(values: str | Column, bins: int = 64) -> Column:
-    """Histogram of each array on its own: ``struct(low, high, counts)``."""
+    """Histogram of each array on its own: ``struct(low, high, counts)``.
+
+    Missing and non-finite elements are left out; NULL if nothing is left.  The bins are
+    those of :func:`bin_number`, counted in one pass over each array.
+    """
+
+    def count(arrays: pd.Series) -> pd.DataFrame:
+        found = [_bin_counts(a, bins) for a in arrays]
+        return pd.DataFrame(found, columns=["low", "high", "counts"])
+
     values = F.col(values) if isinstance(values, str) else values
-    low, high = F.array_min(values), F.array_max(values)
-    flat = low == high
-    numbers = F.transform(values, lambda v: bin_number(v, low, high, bins))
-    counts = F.transform(
-        F.sequence(F.lit(0), F.lit(bins - 1)),
-        lambda b: F.size(F.filter(numbers, lambda n: n == b)),
-    )
-    return F.when(
-        F.size(values) > 0,
-        F.struct(
-            F.when(flat, low - 0.5).otherwise(low).alias("low"),
-            F.when(flat, high + 0.5).otherwise(high).alias("high"),
-            counts.alias("counts"),
-        ),
-    )
+    counted = F.pandas_udf(count, "low double, high double, counts array<int>")(values.cast("array<double>"))
+    return F.when(counted["counts"].isNotNull(), counted)
+
+
+def _bin_counts(values: np.ndarray | None, bins: int) -> tuple[float | None, float | None, np.ndarray | None]:
+    """Range and counts of one array, in the arithmetic of :func:`bin_number`."""
+    kept = np.array([] if values is None else values, dtype=np.float64)
+    kept = kept[np.isfinite(kept)]
+    if not len(kept):
+        return None, None, None
+    low, high = kept.min(), kept.max()
+    if low == high:
+        low, high = low - 0.5, high + 0.5
+    width = 1.0 if kept.min() == kept.max() else high - low
+    step = width / bins
+    guess = np.minimum(np.floor((kept - low) / width * bins), bins - 1)
+    down = kept < low + guess * step
+    up = ~down & (kept >= low + (guess + 1) * step) & (guess != bins - 1)
+    return low, high, np.bincount((guess - down + up).astype(np.int64), minlength=bins).astype(np.int32)

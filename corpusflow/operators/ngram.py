@@ -92,6 +92,8 @@ def fit_ngram(pages: DataFrame, n: int = 2, by: Sequence[str] = ()) -> DataFrame
     Counting starts inside the tasks, so a frequent context never travels token by token.
     N-grams across a page border come from the outermost ids of each page alone: two
     short rows per page meet under the number of the border, whole pages stay in place.
+    A page of fewer than ``n - 1`` ids before another one fails the job: the context would
+    reach back beyond it.
     """
     if not 1 <= n <= MAX_ORDER:
         raise ValueError(f"n must lie between 1 and {MAX_ORDER}")
@@ -99,6 +101,7 @@ def fit_ngram(pages: DataFrame, n: int = 2, by: Sequence[str] = ()) -> DataFrame
     counts = _gram_counts(pages.select(*keys, "ids"), n, by)
     if n > 1:
         edge = n - 1
+        short = F.raise_error(F.lit(f"{n}-grams need pages of {edge} ids or more"))
         # the start of a page closes the border before it, its end opens the border behind it
         sides = F.array(
             F.struct(F.col("page").alias("border"), F.lit(1).alias("side"), F.slice("ids", 1, edge).alias("part")),
@@ -113,7 +116,7 @@ def fit_ngram(pages: DataFrame, n: int = 2, by: Sequence[str] = ()) -> DataFrame
             .groupBy(*keys, "border")
             .agg(F.array_sort(F.collect_list(F.struct("side", "part"))).alias("parts"))
             .where(F.size("parts") == 2)
-            .select(*keys, F.flatten(F.col("parts.part")).alias("ids"))
+            .select(*keys, F.when(F.size(F.col("parts.part")[0]) < edge, short).otherwise(F.flatten(F.col("parts.part"))).alias("ids"))
         )
         counts = counts.unionByName(_gram_counts(borders, n, by))
     return counts.groupBy(*by, "ctx", "id").agg(F.sum("cnt").alias("cnt"))

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from corpusflow.functions.lists import array_mean, array_total, bin_number
+from corpusflow.functions.joins import join_null_safe
+from corpusflow.functions.lists import array_count, array_mean, array_total, bin_number
 from corpusflow.functions.nested import flatten_struct
 from corpusflow.operators.scan import SCAN_BITS, exclusive_scan
 
@@ -29,7 +30,7 @@ def adjust_log_interval(df: DataFrame, interval: int, run: str = "run_id", step:
     """Add the interval at which a run is logged: a twentieth of its length if it is shorter than ``interval``."""
     lengths = df.groupBy(run).agg((F.max(step) + 1).cast("bigint").alias("_iters"))
     wanted = F.when(F.col("_iters") < interval, F.greatest(F.lit(1).cast("bigint"), F.expr("_iters div 20"))).otherwise(F.lit(interval).cast("bigint"))
-    return df.join(lengths.select(run, wanted.alias(out)), run)
+    return join_null_safe(df, lengths.select(run, wanted.alias(out)), [run])
 
 
 def logged_steps(df: DataFrame, interval: int, run: str = "run_id", step: str = "iter") -> DataFrame:
@@ -51,11 +52,15 @@ def step_dt(df: DataFrame, run: str = "run_id", step: str = "iter", ts: str = "t
     return scanned.withColumn(out, seconds_between(F.col(ts), F.col("_prev.ts"))).drop("_prev")
 
 
-def ema_segment(alpha: float) -> int:
-    """Steps after which an earlier value weighs less than 1e-40."""
-    if not 0.0 < alpha < 1.0:
-        raise ValueError("alpha must lie between 0 and 1")
-    return math.ceil(40 * math.log(10) / -math.log1p(-alpha))
+# Rows that one window of a moving average holds at most.
+EMA_ROWS = 4096
+# Largest exponent by which weights inside a segment may differ; doubles end near 700.
+EMA_RANGE = 600.0
+
+
+def ema_segment(log_keep: float) -> int:
+    """Rows of a segment whose weights, ``exp(log_keep)`` per row, stay within doubles; 1 if two rows already do not."""
+    return max(1, min(EMA_ROWS, int(EMA_RANGE / -log_keep)))
 
 
 def ema(
@@ -70,33 +75,51 @@ def ema(
 ) -> DataFrame:
     """Add the moving average: the first value, then ``(1 - alpha)·old + alpha·new``.
 
-    A run is cut into segments long enough for the weight of anything earlier than the
-    previous segment to vanish in double precision.  Inside a segment the recurrence has
-    a closed form that a running sum gives; the end of the previous segment is joined on.
-    No task holds more than a segment, however long the run.  Missing values are skipped
-    and get NULL.  ``initial`` names a column with the average before the first row.
+    A run is cut into segments.  Inside one the recurrence has a closed form that a running
+    sum gives; a segment as a whole is again one step of such a recurrence, so the ends of
+    segments are carried on the same way, level by level.  Nothing is cut off: a NaN or
+    infinite value stays in the average for good.  No window holds more than
+    ``EMA_ROWS`` rows, however long the run and whatever ``alpha``.  Missing values are
+    skipped and get NULL.  ``initial`` names a column with the average before the first row.
     """
-    size, keep = ema_segment(alpha), 1.0 - alpha
+    if not 0.0 < alpha < 1.0:
+        raise ValueError("alpha must lie between 0 and 1")
+    keep = 1.0 - alpha
     present = F.when(F.col(value).isNull(), 0).otherwise(1).cast("bigint")
     ranked = exclusive_scan(df, present, step, by=[run], out="_rank", bits=bits)
-    ranked = ranked.withColumns({"_seg": F.expr(f"_rank div {size}"), "_i": F.col("_rank") % size})
-    power = F.pow(F.lit(keep), F.col("_i").cast("double"))
-    weight = F.when(F.col("_i") == 0, F.lit(1.0)).otherwise(F.lit(alpha))
-    inside = Window.partitionBy(run, "_seg").orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranked.withColumns(
-        {
-            "_sum": F.sum(weight * F.col(value) / power).over(inside),
-            "_first": F.max(F.when(F.col("_i") == 0, F.col(value))).over(inside),
-        }
-    )
-    local = local.withColumn("_local", F.when(F.col(value).isNotNull(), power * F.col("_sum")))
-    end = F.max_by("_local", F.when(F.col(value).isNotNull(), F.col("_rank")))
-    ends = local.groupBy(run, "_seg").agg(end.alias("_carry"))
-    joined = local.join(ends.withColumn("_seg", F.col("_seg") + 1), [run, "_seg"], "left")
-    carry = F.col("_carry") if initial is None else F.coalesce("_carry", F.col(initial))
-    corrected = F.col("_local") + power * keep * (carry - F.col("_first"))
-    average = F.when(carry.isNull(), F.col("_local")).otherwise(corrected)
-    return joined.select(*df.columns, average.alias(out))
+    start = F.lit(None).cast("double") if initial is None else F.col(initial)
+    fresh = F.col(value) if initial is None else F.coalesce(keep * start + alpha * F.col(value), F.col(value))
+    added = F.when(F.col("_rank") == 0, fresh).otherwise(alpha * F.col(value))
+    known = ranked.where(F.col(value).isNotNull()).select(run, step, "_rank", added.alias("_e"))
+    longest = known.agg(F.max("_rank")).first()[0]
+    done = _carried(known.drop(step), run, math.log1p(-alpha), longest or 0, bits)
+    places = ranked.withColumn("_at", F.when(F.col(value).isNotNull(), F.col("_rank")))
+    joined = places.join(done.select(run, F.col("_rank").alias("_at"), "_c"), [run, "_at"], "left")
+    return joined.select(*df.columns, F.col("_c").alias(out))
+
+
+def _carried(rows: DataFrame, run: str, log_keep: float, longest: int, bits: int) -> DataFrame:
+    """``run, _rank, _c`` with ``_c = exp(log_keep)·before + _e`` along ``_rank`` 0, 1, 2…"""
+    size = ema_segment(log_keep)
+    if size == 1:
+        # weights beyond the row before vanish; what is not finite never does
+        odd = F.when(F.isnan("_e") | (F.abs("_e") == float("inf")), F.col("_e")).otherwise(F.lit(0.0))
+        bad = exclusive_scan(rows, odd, "_rank", by=[run], out="_bad", bits=bits, bounds=(0, longest))
+        before = rows.select(run, (F.col("_rank") + 1).alias("_rank"), F.col("_e").alias("_d"))
+        joined = bad.join(before, [run, "_rank"], "left")
+        return joined.select(run, "_rank", (F.col("_e") + F.coalesce(math.exp(log_keep) * F.col("_d"), F.lit(0.0)) + F.col("_bad")).alias("_c"))
+    cut = rows.withColumns({"_seg": F.expr(f"_rank div {size}"), "_i": (F.col("_rank") % size).cast("double")})
+    inside = Window.partitionBy(run, "_seg").orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
+    weight = F.exp(F.col("_i") * log_keep)
+    local = cut.withColumn("_c", weight * F.sum(F.col("_e") / weight).over(inside))
+    if longest < size:
+        return local.select(run, "_rank", "_c")
+    # the last row of a whole segment holds its end; the last segment carries on to nothing
+    ends = local.where(F.col("_i") == size - 1).select(run, F.col("_seg").alias("_rank"), F.col("_c").alias("_e"))
+    carried = _carried(ends, run, log_keep * size, longest // size, bits).select(run, (F.col("_rank") + 1).alias("_seg"), F.col("_c").alias("_carry"))
+    joined = local.join(carried, [run, "_seg"], "left")
+    total = F.col("_c") + F.coalesce(F.exp((F.col("_i") + 1) * log_keep) * F.col("_carry"), F.lit(0.0))
+    return joined.select(run, "_rank", total.alias("_c"))
 
 
 def best_so_far(
@@ -136,7 +159,7 @@ def timer_totals(df: DataFrame, by: Sequence[str] = ("run_id",), timers: Sequenc
     made = []
     for name in timers:
         total = F.sum(array_total(name))
-        made += [total.alias(f"{name}_tot"), (total / F.nullif(F.sum(F.size(name)), F.lit(0))).alias(f"{name}_avg")]
+        made += [total.alias(f"{name}_tot"), (total / F.nullif(F.sum(array_count(name)), F.lit(0))).alias(f"{name}_avg")]
     return df.groupBy(*by).agg(*made)
 
 
@@ -153,7 +176,7 @@ def average_metrics(df: DataFrame, by: Sequence[str] = (), sep: str = "/") -> Da
         if field.name in by:
             continue
         if isinstance(field.dataType, T.ArrayType):
-            counted = F.nullif(F.sum(F.size(column)), F.lit(0))
+            counted = F.nullif(F.sum(array_count(column)), F.lit(0))
             means.append((field.name, F.sum(array_total(column)) / counted))
         elif isinstance(field.dataType, (T.NumericType, T.BooleanType)):
             means.append((field.name, F.avg(column.cast("double"))))
@@ -170,7 +193,7 @@ def histogram(df: DataFrame, value: str, bins: int = 64, by: Sequence[str] = ())
     present = df.where(F.col(value).isNotNull())
     low, high = F.min(value).alias("low"), F.max(value).alias("high")
     if by:
-        ranged = present.join(present.groupBy(*by).agg(low, high), list(by))
+        ranged = join_null_safe(present, present.groupBy(*by).agg(low, high), list(by))
     else:
         ends = present.agg(low, high).first()
         ranged = present.withColumns({name: F.lit(ends[name]).cast("double") for name in ("low", "high")})

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from corpusflow.functions.joins import join_null_safe
 from corpusflow.scratch import stored
 
 # Rows that one window may hold.
@@ -105,11 +106,16 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str
     Rows are range-partitioned on the full key, so a large group spreads over many
     tasks; each row's place in its task is known without a window.  The cut points of
     a range partitioning differ from one evaluation to the next, so the places are
-    fixed in a stored table before they are used twice.
+    fixed in a stored table before they are used twice.  Rows without a group key are a
+    group; a key that occurs twice fails the job, as nothing says which row comes first.
     """
     ranged = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+    # Equal keys share a range partition and lie next to each other: no further exchange or sort.
+    counted = ranged.withColumn("_same", F.count(F.lit(1)).over(Window.partitionBy(*by, *order)))
     # The id holds the partition in its upper 31 bits and the place in its lower 33.
-    placed = stored(ranged.withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    counted = counted.withColumn("_place", F.monotonically_increasing_id())
+    repeated = F.raise_error(F.lit(f"row numbers: {', '.join([*by, *order])} is not unique"))
+    placed = stored(counted.withColumn("_place", F.when(F.col("_same") > 1, repeated).otherwise(F.col("_place"))).drop("_same"), "numbered")
     placed = placed.withColumn("_part", F.shiftright("_place", 33))
     runs = placed.groupBy(*by, "_part").agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
     # at most one row per group and range partition
@@ -119,7 +125,7 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str
     # Counted before it is broadcast: without the hint Spark plans a shuffle of all rows.
     runs = stored(runs.select(*keys, "_first", "_base"), "runs")
     small = runs.count() <= BROADCAST_ROWS
-    numbered = placed.join(F.broadcast(runs) if small else runs, keys)
+    numbered = join_null_safe(placed, F.broadcast(runs) if small else runs, keys)
     return numbered.select(*df.columns, (F.col("_base") + F.col("_place") - F.col("_first")).alias(out))
 
 
@@ -141,7 +147,9 @@ def find_position(
     if (target is None) == (fraction is None):
         raise ValueError("give either target or fraction")
     rows = df.select(F.col(order).cast("bigint").alias("key"), (F.col(length) if isinstance(length, str) else length).alias("len"))
-    low, high = rows.agg(F.min("key"), F.max("key")).first()
+    low, high, missing = rows.agg(F.min("key"), F.max("key"), F.count_if(F.col("key").isNull())).first()
+    if missing:
+        raise ValueError(f"{order} is null in {missing} rows")
     if low is None:
         return None
     shift = 0
