@@ -216,21 +216,18 @@ def bytes_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return subword.decode_subword(coded, ranks).select("doc_id", F.md5("text").alias("digest"))
 
 
-try:
-    import public_tokenizers
-except ImportError:  # the 50k ranks are an optional file
-    public_tokenizers = None
+# Where the ranks of a 50k byte-pair encoding lie, unless the session names another file.
+RANKS_SETTING, RANKS_PATH = "spark.corpusflow.ranks.path", "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
-if public_tokenizers is not None:
 
-    @query("SELECT doc_id, 50256 AS last_id, true AS shorter, md5(text) AS digest FROM documents")
-    def subword_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-        """The 50k byte-pair encoding: decodes to the text, takes no more ids than bytes."""
-        ranks = subword.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-        docs = spread_documents(spark, folder).withColumn("bytes", F.octet_length("text"))
-        coded = subword.encode_subword(docs, ranks)
-        checked = coded.withColumns({"last_id": F.element_at("ids", -1), "shorter": F.col("len") <= F.col("bytes") + 1})
-        return subword.decode_subword(checked, ranks).select("doc_id", "last_id", "shorter", F.md5("text").alias("digest"))
+@query("SELECT doc_id, 50256 AS last_id, true AS shorter, md5(text) AS digest FROM documents")
+def subword_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50k byte-pair encoding: decodes to the text, takes no more ids than bytes."""
+    ranks = subword.read_ranks(spark.conf.get(RANKS_SETTING, RANKS_PATH))
+    docs = spread_documents(spark, folder).withColumn("bytes", F.octet_length("text"))
+    coded = subword.encode_subword(docs, ranks)
+    checked = coded.withColumns({"last_id": F.element_at("ids", -1), "shorter": F.col("len") <= F.col("bytes") + 1})
+    return subword.decode_subword(checked, ranks).select("doc_id", "last_id", "shorter", F.md5("text").alias("digest"))
 
 
 @query("""
@@ -255,12 +252,13 @@ def drop_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-    SELECT d.doc_id, quality, toxic, length(text) AS n, length(string_split(text, ' ')) AS words
-    FROM documents AS d JOIN labels USING (doc_id)
+    SELECT d.doc_id, coalesce(quality, -1) AS quality, coalesce(toxic, -1) AS toxic, length(text) AS n, length(string_split(text, ' ')) AS words
+    FROM documents AS d LEFT JOIN labels USING (doc_id)
 """)
 def map_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """A Python function per row; label columns survive, the text does not."""
-    labelled = spread_documents(spark, folder).join(read_table(spark, folder, "labels"), "doc_id")
+    """A Python function per row of the whole corpus; label columns survive, the text does not."""
+    labelled = spread_documents(spark, folder).join(read_table(spark, folder, "labels"), "doc_id", "left")
+    labelled = labelled.withColumns({name: F.coalesce(name, F.lit(-1)) for name in ("quality", "toxic")})
 
     def measure(row: dict) -> dict:
         return {"n": len(row["text"]), "words": len(row["text"].split(" "))}
@@ -426,15 +424,15 @@ def crop_context(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-    SELECT doc_id, md5(substr(text, 1, length(text) - 1)) AS x_digest, md5(substr(text, 2)) AS y_digest
-    FROM documents WHERE length(text) > 0
+    SELECT doc_id, md5(left(text, greatest(length(text) - 1, 0))) AS x_digest, md5(substr(text, 2)) AS y_digest
+    FROM documents
 """)
 def shift_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Inputs and targets over the whole of every document, as text."""
     docs = spread_documents(spark, folder)
     known = collect_vocab(vocab_ops.build_vocab(docs))
-    coded = encode.encode_chars(docs.where("text <> ''"), known)
-    coded = coded.select("doc_id", *shifted("ids", F.col("len") - 1))
+    coded = encode.encode_chars(docs, known)
+    coded = coded.select("doc_id", *shifted("ids", F.greatest(F.col("len") - 1, F.lit(0))))
     return coded.select(
         "doc_id",
         F.md5(chars.decode_column("x", known)).alias("x_digest"),

@@ -72,7 +72,7 @@ def topk_next(spark: SparkSession, folder: str) -> DataFrame:
         SELECT ctx, id, sum(cnt) OVER (PARTITION BY ctx ORDER BY id) AS upto, sum(cnt) OVER (PARTITION BY ctx) AS total FROM counts
     ),
     prompts AS (
-        SELECT conv_id || '/' || turn AS key, right(text, 1) AS ch FROM conversations WHERE text <> ''
+        SELECT conv_id || '/' || turn AS key, right(text, 1) AS ch FROM conversations
     ),
     drawn AS (
         SELECT key, min(c.id) AS next
@@ -85,7 +85,8 @@ def topk_next(spark: SparkSession, folder: str) -> DataFrame:
 def sample_next(spark: SparkSession, folder: str) -> DataFrame:
     """One draw after the last character of every conversation turn."""
     table, encoder = _corpus(spark, folder)
-    prompts = _prompts(spark, folder, encoder).where("len > 0").select("key", ngram.pack_context(F.col("ids"), 1).alias("ctx"))
+    context = F.when(F.size("ids") > 0, ngram.pack_context(F.col("ids"), 1))  # an empty turn has none, and draws nothing
+    prompts = _prompts(spark, folder, encoder).select("key", context.alias("ctx"))
     return ngram.sample_next(prompts, ngram.next_probs(table), seed=7).select("key", "next")
 
 

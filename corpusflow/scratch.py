@@ -30,9 +30,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return named or current
 
 
+# Paths handed out and not yet cleared.
+_OPEN: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the checkpoint folder that nobody else uses."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path under the checkpoint folder that nobody else uses, until :func:`clear_scratch`."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _OPEN.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process has made, once no DataFrame needs them any more."""
+    count = len(_OPEN)
+    while _OPEN:
+        delete_path(spark, _OPEN.pop())
+    return count
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -53,6 +67,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly in a folder; none for a file."""
+    files, place = _hadoop(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(place) if f.isDirectory())
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder the library wrote itself; a missing one is fine."""
     files, place = _hadoop(spark, path)

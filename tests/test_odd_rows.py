@@ -7,6 +7,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusflow.functions.lists import array_histogram, array_mean, array_total
 from corpusflow.operators.ngram import fit_ngram
@@ -105,3 +106,25 @@ def test_ngrams_reject_pages_too_short_for_their_context(spark):
     assert fit_ngram(pages, 2).count() == 4
     last = spark.createDataFrame([("train", 0, [1, 2]), ("train", 1, [3])], "split string, page long, ids array<int>")
     assert [tuple(r) for r in fit_ngram(last, 3).collect()] == [(1 * 65536 + 2, 3, 1)]
+
+
+def test_dataset_folders(spark, tmp_path):
+    from corpusflow.sources.dataset import read_dataset
+
+    rows = spark.createDataFrame([(i, "train" if i % 3 else "test") for i in range(30)], "n int, split string")
+    for split in ("train", "test"):
+        rows.where(F.col("split") == split).select("n").write.parquet(f"{tmp_path}/folders/{split}")
+    rows.select("n").repartition(3).write.parquet(f"{tmp_path}/plain")
+    rows.write.partitionBy("split").parquet(f"{tmp_path}/keyed")
+    found = lambda name: {(r.n, r.split) for r in read_dataset(spark, name, str(tmp_path)).collect()}
+    want = {(r.n, r.split) for r in rows.collect()}
+    assert found("folders") == want and found("keyed") == want
+    assert found("plain") == {(n, "train") for n, _ in want}
+
+
+def test_scratch_is_cleared(spark):
+    from corpusflow.scratch import clear_scratch, path_exists, stored
+
+    kept = stored(spark.range(3), "few").inputFiles()[0].rsplit("/", 1)[0]
+    assert path_exists(spark, kept) and clear_scratch(spark) > 0
+    assert not path_exists(spark, kept) and clear_scratch(spark) == 0
