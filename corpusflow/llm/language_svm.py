@@ -26,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.llm.common import sent_whole
 from corpusflow.scratch import stored
 
-PER_LANGUAGE = 1_000
-FIT_ROWS = 8_000
+PER_LANGUAGE = 400
+FIT_ROWS = 3_000
 PAIR_BITS, TRIPLE_BITS = 11, 12
 DIM = (1 << PAIR_BITS) + (1 << TRIPLE_BITS)
 COST = 10.0
@@ -106,8 +107,7 @@ class LanguageModel:
 
 def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = COST) -> np.ndarray:
     """Squared-hinge SVM over rows of ``x``, solved on the rows inside the margin."""
-    x = np.c_[x, np.ones(len(x), np.float32)]
-    gram = (x @ x.T).astype(np.float64)
+    gram = (x @ x.T + 1).astype(np.float64)  # the bias counts as a column of ones
     active, alpha = np.ones(len(y), bool), np.zeros(len(y))
     for _ in range(20):
         alpha = np.zeros(len(y))
@@ -117,7 +117,7 @@ def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = COST) -> np.ndarray:
         if np.array_equal(now, active) or not now.any():
             break
         active = now
-    return (x.T @ alpha.astype(np.float32)).astype(np.float32)
+    return np.append(x.T @ alpha.astype(np.float32), alpha.sum()).astype(np.float32)
 
 
 def fit_languages(x: np.ndarray, lang: list[str]) -> LanguageModel:
@@ -140,8 +140,8 @@ def fit_languages(x: np.ndarray, lang: list[str]) -> LanguageModel:
 def train_languages(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = FIT_ROWS) -> LanguageModel:
     """A model from ``docs(text, lang)``, all rows of which may be learned from."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", (F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 40)) / F.lit(float(1 << 40))).alias("u"))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    near = known.join(counts, "lang").where(F.col("u") * F.col("n") < per_language)
+    counts = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "counts")
+    near = known.join(sent_whole(counts), "lang").where(F.col("u") * F.col("n") < per_language)
     chosen = stored(near.orderBy(F.col("u") * F.col("n"), "lang", "text").limit(rows).select("lang", "text"), "chosen")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
