@@ -48,6 +48,7 @@ SIGN = 31
 LONGEST = 40
 DIM = 1 << (5 * ORDER)
 PIECE = 1 << 20
+BLOCK = 250  # words whose kernel rows are built at once
 
 #: Signs that stand for letters.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
@@ -181,8 +182,8 @@ def kernel(words: list[bytes], marks: list[bytes]) -> np.ndarray:
     table = np.zeros((len(used) + 1, len(marks)), np.float32)
     np.add.at(table, (place, row), value)
     out = np.zeros((len(words), len(marks)), np.float32)
-    for at in range(0, len(words), 2_000):
-        r, c, v = runs_of(words[at : at + 2_000])
+    for at in range(0, len(words), BLOCK):
+        r, c, v = runs_of(words[at : at + BLOCK])
         spot = np.minimum(np.searchsorted(used, c), len(used) - 1)
         held = used[spot] == c
         r, spot, v = r[held], spot[held], v[held]
@@ -190,22 +191,31 @@ def kernel(words: list[bytes], marks: list[bytes]) -> np.ndarray:
         r, spot, v = r[order], spot[order], v[order]
         if len(r):
             starts = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-            out[at + r[starts]] = np.add.reduceat(table[spot] * v[:, None], starts, axis=0)
+            part = table[spot]
+            part *= v[:, None]
+            out[at + r[starts]] = np.add.reduceat(part, starts, axis=0)
     return out
 
 
-def squared_hinge_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 12) -> np.ndarray:
-    """Primal SVM with squared hinge loss by Newton steps; the last column of ``x`` is the bias."""
-    w = np.zeros(x.shape[1])
-    ridge = np.eye(x.shape[1])
+def squared_hinge_svm(parts: list[tuple[np.ndarray, float]], cost: float, steps: int = 12) -> np.ndarray:
+    """Primal SVM with squared hinge loss by Newton steps, over ``(rows, label)`` parts; the last column is the bias.
+
+    Sums are formed over stretches of rows, so that no second copy of the rows is made.
+    """
+    size = parts[0][0].shape[1]
+    w, ridge = np.zeros(size), np.eye(size)
     ridge[-1, -1] = 1e-3
-    active = np.ones(len(x), bool)
+    active = [np.ones(len(x), bool) for x, _ in parts]
     for _ in range(steps):
-        xa, ca = x[active], cost[active].astype(np.float32)
-        weighed = xa * ca[:, None]
-        w = np.linalg.solve(ridge + (weighed.T @ xa).astype(np.float64), (weighed.T @ y[active].astype(np.float32)).astype(np.float64))
-        now = y * (x @ w.astype(np.float32)) < 1
-        if np.array_equal(now, active) or not now.any():
+        square, linear = ridge.copy(), np.zeros(size)
+        for (x, y), on in zip(parts, active, strict=True):
+            for at in range(0, len(x), 4_000):
+                xa = x[at : at + 4_000][on[at : at + 4_000]]
+                square += cost * (xa.T @ xa)
+                linear += cost * y * xa.sum(axis=0, dtype=np.float64)
+        w = np.linalg.solve(square, linear)
+        now = [y * (x @ w.astype(np.float32)) < 1 for x, y in parts]
+        if all(np.array_equal(n, o) for n, o in zip(now, active, strict=True)) or not any(n.any() for n in now):
             break
         active = now
     return w
@@ -226,10 +236,13 @@ def train_words(clean: list[bytes], suspects: list[tuple[int, bytes, int]]) -> t
     def mapped(group: list[bytes]) -> np.ndarray:
         out = np.ones((len(group), narrow.shape[1] + 1), np.float32)
         for at in range(0, len(group), 2_000):
-            out[at : at + 2_000, :-1] = kernel(group[at : at + 2_000], marks) @ narrow
+            np.matmul(kernel(group[at : at + 2_000], marks), narrow, out=out[at : at + 2_000, :-1])
         return out
 
-    negative, positive = mapped(clean), mapped(words)
+    single = sorted(set(words))  # a word that several documents hold is mapped once
+    place = {word: i for i, word in enumerate(single)}
+    row_of = np.array([place[word] for word in words])
+    negative, positive = mapped(clean), mapped(single)
     docs, spread = np.array(docs), np.array(spread)
 
     def best(value: np.ndarray) -> np.ndarray:
@@ -240,10 +253,8 @@ def train_words(clean: list[bytes], suspects: list[tuple[int, bytes, int]]) -> t
     witness = witness[spread[witness] > 1] if (spread[witness] > 1).any() else witness
     w = np.zeros(positive.shape[1])
     for _ in range(ROUNDS):
-        x = np.r_[negative, positive[witness]]
-        y = np.r_[-np.ones(len(negative)), np.ones(len(witness))]
-        w = squared_hinge_svm(x, y, np.full(len(y), COST))
-        value = positive @ w.astype(np.float32)
+        w = squared_hinge_svm([(negative, -1.0), (positive[row_of[witness]], 1.0)], COST)
+        value = (positive @ w.astype(np.float32))[row_of]
         found = best(value)
         found = found[value[found] > -0.25]  # documents that nothing explains stay out
         if not len(found):
@@ -298,10 +309,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicModel:
         return flat
     weights, bias = train_words(clean, sorted((r.doc_id, bytes(r.word), int(r.t)) for r in rows))
     model = ToxicModel(weights, bias, 1.0, 0.0)
-    held = _valued(sample.where("half = 1"), model, ["toxic"]).select("value", "toxic").toPandas()
-    if held.toxic.nunique() < 2:
+    held = _valued(sample.where("half = 1"), model, ["toxic"]).select("value", "toxic").collect()
+    value, label = np.array([r.value for r in held]), np.array([r.toxic for r in held], float)
+    if len(np.unique(label)) < 2:
         return flat
-    model.slope, model.shift = fit_logistic(held.value.to_numpy(), held.toxic.to_numpy())
+    model.slope, model.shift = fit_logistic(value, label)
     return model
 
 
