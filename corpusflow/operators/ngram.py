@@ -186,19 +186,27 @@ def continue_prompts(
     seed: int = 1337,
     key: str = "key",
     store_every: int = 8,
+    samples: int | None = None,
 ) -> DataFrame:
     """Extend ``ids`` of every prompt by up to ``steps`` drawn tokens.
 
     Each step looks up the last ``n - 1`` ids only.  A prompt ends early at a context the
     table does not know.  The growing plan is cut every few steps by storing the prompts.
+    With ``samples``, every prompt is continued that many times, each with draws of its
+    own, and a column ``sample`` tells them apart.
     """
+    if samples is not None:
+        if samples < 1:
+            raise ValueError("at least one sample")
+        prompts = prompts.withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
+    draw = [F.lit(seed), F.col(key)] + ([] if samples is None else [F.col("sample")])
     probs = next_probs(table, temperature) if top_k is None else top_k_probs(table, top_k, temperature)
     choices = stored(cumulative_choices(probs), "choices")
     rest = [c for c in prompts.columns if c != "ids"]
     current = prompts.withColumn("_open", F.size("ids") >= n - 1)
     for step in range(steps):
         context = F.when(F.col("_open"), pack_context(F.col("ids"), n - 1))
-        uniform = hash_uniform(F.lit(seed), F.col(key), F.lit(step))
+        uniform = hash_uniform(*draw, F.lit(step))
         drawn = current.withColumn("ctx", context).join(choices, "ctx", "left")
         token = pick(F.col("choices"), uniform)
         current = drawn.select(

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from corpusflow.functions.chars import explode_chars
+from corpusflow.functions.chars import MAX_CODE_POINTS, explode_chars
+
+# Texts whose characters are counted at once.
+COUNT_ROWS = 256
 
 
 def distinct_chars(df: DataFrame, text: str = "text") -> DataFrame:
@@ -27,8 +35,26 @@ def vocab_size(df: DataFrame, text: str = "text") -> DataFrame:
     return distinct_chars(df, text).agg(F.count("*").alias("vocab_size"))
 
 
+def _counted_chars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each character of a task's texts, with its occurrences."""
+    counts = np.zeros(MAX_CODE_POINTS, np.int64)
+    for batch in batches:
+        for at in range(0, batch.num_rows, COUNT_ROWS):
+            texts = pc.fill_null(batch.column(0).slice(at, COUNT_ROWS), "").to_pylist()
+            found = np.bincount(np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32))
+            counts[: len(found)] += found
+    seen = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array([chr(p) for p in seen], pa.string()), pa.array(counts[seen], pa.int64())], ["ch", "cnt"])
+
+
 def char_freq(df: DataFrame, text: str = "text", by: tuple[str, ...] = ()) -> DataFrame:
-    """Occurrences of each character; counted in the tasks before the shuffle."""
+    """Occurrences of each character.
+
+    Without groups, every task counts code points and hands on one row per character.
+    """
+    if not by:
+        counted = df.select(text).mapInArrow(_counted_chars, "ch string, cnt long")
+        return counted.groupBy("ch").agg(F.sum("cnt").alias("cnt"))
     rows = df.select(*by, F.explode(F.split(text, "")).alias("ch")).where(F.col("ch") != "")
     return rows.groupBy(*by, "ch").agg(F.count("*").alias("cnt"))
 

@@ -153,3 +153,33 @@ def continue_prompts(spark: SparkSession, folder: str) -> DataFrame:
     prompts = _prompts(spark, folder, encoder)
     longer = ngram.continue_prompts(prompts.select("key", "ids"), table, steps=12, top_k=3, temperature=1.0, seed=11)
     return longer.select("key", F.md5(chars.decode_column("ids", marked)).alias("digest"))
+
+
+@query(f"""
+    WITH RECURSIVE {BIGRAMS},
+    top AS (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY cnt DESC) AS r FROM counts),
+    cdf AS (
+        SELECT ctx, id, sum(cnt) OVER (PARTITION BY ctx ORDER BY id) AS upto, sum(cnt) OVER (PARTITION BY ctx) AS total
+        FROM top WHERE r <= 3
+    ),
+    choices AS (SELECT ctx, list(id ORDER BY id) AS ids, list(upto / total ORDER BY id) AS uptos FROM cdf GROUP BY ctx),
+    made AS (
+        SELECT conv_id || '/' || turn AS key, sample, 0 AS step, v.id AS last, text AS text
+        FROM conversations LEFT JOIN vocab AS v ON v.ch = right(text, 1), range(3) AS s(sample)
+        UNION ALL
+        SELECT key, sample, step + 1, c.ids[coalesce(list_position(list_transform(c.uptos,
+                   lambda x: x > {UNIFORM.format("'5:' || key || ':' || sample || ':' || step")}), true), len(c.ids))] AS last, text || nv.ch
+        FROM made JOIN choices AS c ON c.ctx = made.last
+        JOIN vocab AS nv ON nv.id = c.ids[coalesce(list_position(list_transform(c.uptos,
+                   lambda x: x > {UNIFORM.format("'5:' || key || ':' || sample || ':' || step")}), true), len(c.ids))]
+        WHERE step < 8
+    )
+    SELECT key, CAST(sample AS INTEGER) AS sample, md5(arg_max(text, step)) AS digest FROM made GROUP BY key, sample
+""")
+def continue_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation turn continued by 8 characters, three times."""
+    table, encoder = _corpus(spark, folder)
+    marked = {**encoder.vocab, "�": len(encoder.vocab)}
+    prompts = _prompts(spark, folder, encoder)
+    longer = ngram.continue_prompts(prompts.select("key", "ids"), table, steps=8, top_k=3, temperature=1.0, seed=5, samples=3)
+    return longer.select("key", "sample", F.md5(chars.decode_column("ids", marked)).alias("digest"))

@@ -101,6 +101,16 @@ def test_certain_continuation_and_early_end(spark):
     }
 
 
+def test_samples_of_one_prompt_differ_and_repeat(spark):
+    even = spark.createDataFrame([(0, 0, 1), (0, 1, 1), (1, 0, 1), (1, 1, 1)], "ctx bigint, id int, cnt bigint")
+    prompts = spark.createDataFrame([("a", [0]), ("b", [1])], "key string, ids array<int>")
+    draw = lambda: {(r.key, r.sample): tuple(r.ids) for r in ngram.continue_prompts(prompts, even, steps=12, samples=4).collect()}
+    found = draw()
+    assert len(found) == 8 and len(set(found.values())) == 8 and draw() == found
+    with pytest.raises(ValueError):
+        ngram.continue_prompts(prompts, even, steps=1, samples=0)
+
+
 def test_continuation_with_longer_context(spark, stream):
     table = ngram.fit_ngram(make_pages(spark, stream, 10), 3)
     prompts = spark.createDataFrame([(i, [1, i % 3]) for i in range(12)] + [(99, [1])], "key int, ids array<int>")
