@@ -185,10 +185,14 @@ def _dealt(rows: DataFrame, copies: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
-    """The documents that the mix takes, with ``copies``: a row stands for that many in the mix."""
+    """The documents that the mix takes, with ``copies``: a row stands for that many in the mix.
+
+    Rows equal in id, text and source become one row with all their copies.  A column
+    ``copies`` of the input is replaced.
+    """
     found = mixed(docs, weights, limit).where("copies > 0")
     totals = found.groupBy("doc_id", "text_key", "source").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
     keys = totals.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("source").alias("_source"), "copies")
-    marked = docs.withColumn("_text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_key", "source"])
+    marked = docs.drop("copies").withColumn("_text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_key", "source"])
     same = marked.doc_id.eqNullSafe(F.col("_id")) & (marked["_text_key"] == F.col("_key")) & marked.source.eqNullSafe(F.col("_source"))
     return marked.join(keys, same).drop("_text_key", "_id", "_key", "_source")
