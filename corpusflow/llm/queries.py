@@ -8,15 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import oracles
+from corpusflow.llm.common import let, space_words
+from corpusflow.llm.conversation_repair import conversation_report, damaged, repair_conversations
 from corpusflow.llm.decontaminate import contamination
 from corpusflow.llm.entropy_mix import mixed
 from corpusflow.llm.language_svm import identify, train_languages
 from corpusflow.llm.outliers import outliers
+from corpusflow.llm.periodic_runs import periodic_runs, planted, run_digests
 from corpusflow.llm.quality_trees import score_quality, train_quality
 from corpusflow.llm.secret_scan import scan_secrets
 from corpusflow.llm.sentence_spans import remove_repeated_spans
 from corpusflow.llm.simhash import simhash_components
 from corpusflow.llm.toxicity import score_toxicity, train_toxicity
+from corpusflow.llm.url_filter import judge_urls
 from corpusflow.llm.warc_chain import page_records, read_archive, write_archive
 from corpusflow.plans.registry import Query
 from corpusflow.scratch import scratch_path
@@ -106,3 +110,22 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = train_toxicity(docs, labels.where(fold(4) != 2))
     found = score_toxicity(docs, model, ["doc_id"])
     return found.select("doc_id", (fold(4) == 2).alias("held_out"), "score", "predicted", "n_hits")
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    words = let(space_words(F.col("text")), lambda w: F.array_join(planted(w, F.col("doc_id")), " "))
+    return run_digests(periodic_runs(docs.select("doc_id", words.alias("text"))))
+
+
+@query
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(read_table(spark, folder, "pages").select("page_id", "url"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    summary, _ = repair_conversations(damaged(rows))
+    return conversation_report(rows, summary)
