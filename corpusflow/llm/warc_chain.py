@@ -15,8 +15,11 @@ Pages: null html is an empty payload.  Rows that repeat the smallest ``page_id``
 payload are all responses; a null ``page_id`` is larger than any other and, where it comes
 first, is referred to by null.  Null urls give records without target.  Repeated rows give
 repeated records.  An empty table gives an empty result, an archive folder without records
-likewise.  A chain that breaks (a cut file, a length that leads nowhere) ends there: records
-before the break are returned, the break is not hidden: ``chain_ends`` gives the offset.
+likewise.  Headers may have any length: they are read line by line up to their empty line.  A
+chain that breaks (a cut file, a length that leads nowhere) ends there: records before the break are
+returned, ``chain_ends`` gives its place, and ``read_archive(whole=True)``, which the query
+uses on the archive it wrote, makes it an error.  Very long pages are one record, held whole
+by the task that reads it.  Columns beside the three that are read may have any names.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -40,6 +43,7 @@ MAGIC = b"WARC/1.0\r\n"
 GAP = b"\r\n\r\n"
 CHUNK = 4 << 20
 TASK_CHUNKS = 32
+#: Bytes by which a task reads on at least.
 HEADER = 1 << 16
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
@@ -77,7 +81,7 @@ def revisits(found: DataFrame, least_bytes: int = 0) -> DataFrame:
     return later.select("page_id", "payload_digest", "refers_to").distinct()
 
 
-def _header(*lines: Column) -> Column:
+def _head(*lines: Column) -> Column:
     return F.concat(F.lit(MAGIC.decode()), *lines)
 
 
@@ -100,7 +104,7 @@ def write_archive(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size, F.lit("\r\n\r\n"))
     block = F.when(again, http).otherwise(F.concat(http, F.col("html")))
     name = lambda c: F.concat(F.lit(f"<{RECORD_ID}"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
-    record = _header(
+    record = _head(
         _field("WARC-Type", F.when(again, "revisit").otherwise("response")),
         _field("WARC-Record-ID", name(F.col("page_id"))),
         _field("WARC-Date", F.lit(DATE)),
@@ -123,32 +127,79 @@ def _base32(value: Column) -> Column:
     return F.pandas_udf(encode, "string")(value)
 
 
+FIELD = re.compile(rb"[!-9;-~]++[ \t]*+:")
+#: What a line of a header may be so far, where the data ends inside it.
+OPEN = re.compile(rb"[!-9;-~]*+[ \t]*+\r?")
+LENGTH = re.compile(rb"(?i)content-length[ \t]*:[ \t]*([0-9]{1,18})[ \t]*")
+
+
+class Bytes:
+    """Some bytes of a file, more of them when asked."""
+
+    def __init__(self, data: bytes, base: int, whole: int, read: Callable[[int, int], bytes] | None = None):
+        self.data, self.base, self.whole, self.read, self.step = bytearray(data), base, whole, read, HEADER
+
+    def grow(self) -> bool:
+        """Read on, twice as far each time; False at the end of the file."""
+        at = self.base + len(self.data)
+        more = self.read(at, min(self.step, self.whole - at)) if self.read and at < self.whole else b""
+        self.data += more
+        self.step *= 2
+        return bool(more)
+
+
+def _header(held: Bytes, at: int, known: dict[int, tuple[int, bytes | None] | None]) -> tuple[int, bytes | None] | None:
+    """Where the empty line of the header at ``data[at]`` begins, and its length field; None if it is no header.
+
+    Lines are read one by one, however many and long.  ``known`` holds what was found from
+    any line on, so that headers inside headers are read once.
+    """
+    pos, lines = at + len(MAGIC), []
+    while pos not in known:
+        end = held.data.find(b"\r\n", pos)
+        if end < 0:
+            line = OPEN.fullmatch(held.data, pos) or FIELD.match(held.data, pos)
+            if line is None or not held.grow():
+                known[pos] = None
+        elif end == pos:
+            known[pos] = (pos, None)
+        elif FIELD.match(held.data, pos, end) is None:
+            known[pos] = None
+        else:
+            lines.append((pos, end))
+            pos = end + 2
+    found = known[pos]
+    for start, end in reversed(lines):
+        if found is not None and found[1] is None and (m := LENGTH.fullmatch(held.data, start, end)):
+            found = (found[0], bytes(m[1]))
+        known[start] = found
+    return found
+
+
 @dataclass
 class Record:
-    """A parsed record header: where it begins, where its block does, and where the next record must."""
+    """A record: where it begins, where its block does, and where the next record must."""
 
     start: int
     block: int
     next: int
-    fields: dict[str, str]
 
 
-def parse_header(data: bytes, at: int, base: int) -> Record | None:
+def parse_header(held: Bytes, at: int, known: dict) -> Record | None:
     """The record whose magic is at ``data[at]``, if its header is whole and has a length."""
-    end = data.find(GAP, at, at + HEADER)
-    if end < 0:
+    found = _header(held, at, known)
+    if found is None or found[1] is None:
         return None
+    block = held.base + found[0] + 2
+    return Record(held.base + at, block, block + int(found[1]) + len(GAP))
+
+
+def header_fields(lines: bytes) -> dict[str, str]:
     fields = {}
-    for line in data[at + len(MAGIC) : end].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
-        if not colon:
-            return None
+    for line in lines.split(b"\r\n"):
+        name, _, value = line.partition(b":")
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    length = fields.get("content-length", "")
-    if not re.fullmatch(r"[0-9]{1,18}", length):
-        return None
-    block = base + end + len(GAP)
-    return Record(base + at, block, block + int(length) + len(GAP), fields)
+    return fields
 
 
 class _Range:
@@ -164,18 +215,20 @@ class _Range:
         return self.file.read_at(size, start)
 
 
-def scan_chunk(data: bytes, base: int, size: int, whole: int) -> list[tuple[int, int]]:
+def scan_chunk(data: bytes, base: int, size: int, whole: int, read: Callable[[int, int], bytes] | None = None) -> list[tuple[int, int]]:
     """``(offset, exit)`` of every candidate in the first ``size`` bytes of ``data``.
 
     ``exit`` is where the candidate's chain leaves the chunk: at a later chunk, at the end of
     the file (``whole``), or -1 where it breaks.  Candidates are taken from the back, so each
-    one's successor is settled before it.
+    one's successor is settled before it.  ``read`` gives more of the file for headers that
+    leave the data.
     """
-    found, at = [], data.find(MAGIC)
+    held, known, found = Bytes(data, base, whole, read), {}, []
+    at = held.data.find(MAGIC, 0, size + len(MAGIC) - 1)
     while 0 <= at < size:
-        if (record := parse_header(data, at, base)) is not None:
+        if (record := parse_header(held, at, known)) is not None:
             found.append((record.start, record.next))
-        at = data.find(MAGIC, at + 1)
+        at = held.data.find(MAGIC, at + 1, size + len(MAGIC) - 1)
     exits: dict[int, int] = {}
     for start, following in reversed(found):
         exits[start] = following if base + size <= following <= whole else exits.get(following, -1)
@@ -205,8 +258,8 @@ def chain_entries(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFra
         for batch in batches:
             for name, size, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 inside = min(chunk, size - start)
-                data = _Range(name).read(start, inside + HEADER + len(MAGIC))
-                found = scan_chunk(data, start, inside, size)
+                read = _Range(name).read
+                found = scan_chunk(read(start, min(inside + len(MAGIC), size - start)), start, inside, size, read)
                 if found:
                     rows = len(found)
                     arrays = [[name] * rows, [size] * rows, [a for a, _ in found], [b for _, b in found]]
@@ -231,47 +284,76 @@ def chain_entries(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFra
     return known.select("path", "entry").join(candidates, ["path", "entry"]).select("path", "size", "entry", "exit")
 
 
-def read_archive(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
-    """``path, offset, type, record_id, target, refers_to, declared_digest, http_length, payload`` of every real record."""
+def chain_ends(spark: SparkSession, path: str, entries: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``path, size, end``: where the chain of every file that has bytes ends; at its size if nothing is lost."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = []
+            for name, size, entry in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = 0 if entry is None else entry
+                for _, at in chain_records(_Range(name), size, at, at // chunk * chunk + chunk if entry is not None else 0):
+                    pass
+                ends.append(at)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(ends, pa.int64())], ["path", "size", "end"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size")).where("size > 0")
+    last = entries.groupBy("path").agg(F.max("entry").alias("entry"))
+    return _dealt(stored(files.join(last, "path", "left"), "files"), "path").mapInArrow(work, "path string, size long, end long")
+
+
+def read_archive(spark: SparkSession, path: str, chunk: int = CHUNK, whole: bool = False) -> DataFrame:
+    """``path, offset, type, record_id, target, refers_to, declared_digest, http_length, payload`` of every real record.
+
+    With ``whole`` a file whose chain breaks before its end is an error; otherwise the
+    records before the break are returned, and :func:`chain_ends` tells where it is.
+    """
     entries = stored(chain_entries(spark, path, chunk), "entries")
+    if whole and (broken := chain_ends(spark, path, entries, chunk).where("end < size").first()):
+        raise ValueError(f"the record chain of {broken['path']} breaks at byte {broken['end']} of {broken['size']}")
     schema = "path string, offset long, type string, record_id string, target string, refers_to string, declared_digest string, http_length long, payload binary"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary())
         for batch in batches:
             for name, size, entry in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                rows = [(name, *row) for row in chunk_records(_Range(name), size, entry, entry // chunk * chunk + chunk)]
-                columns = list(zip(*rows, strict=True))
-                types = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary())
+                rows = [(name, *row) for row, _ in chain_records(_Range(name), size, entry, entry // chunk * chunk + chunk)]
                 if rows:
+                    columns = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [f.split()[0] for f in schema.split(", ")])
 
     return _dealt(entries, "path", "entry").select("path", "size", "entry").mapInArrow(work, schema)
 
 
-def chunk_records(file: _Range, size: int, entry: int, end: int) -> Iterator[tuple]:
-    """Records from ``entry`` on that begin before ``end``, along the chain."""
-    at = entry
-    data, base = file.read(at, min(size, end) - at + HEADER), at
-    while at < min(size, end):
-        record = parse_header(data, at - base, base) if data.startswith(MAGIC, at - base) else None
+def chain_records(file: _Range, size: int, entry: int, end: int) -> Iterator[tuple[tuple, int]]:
+    """Records from ``entry`` on that begin before ``end``, along the chain, each with the place of its successor."""
+    at, stop = entry, min(size, end)
+    held = Bytes(file.read(at, stop - at) if at < stop else b"", at, size, file.read)
+    while at < stop:
+        while at - held.base + len(MAGIC) > len(held.data) and held.grow():
+            pass
+        record = parse_header(held, at - held.base, {}) if held.data.startswith(MAGIC, at - held.base) else None
         if record is None or record.next > size:
             return
-        stop = record.next - len(GAP)
-        block = data[record.block - base : stop - base] if stop <= base + len(data) else file.read(record.block, stop - record.block)
+        fields = header_fields(bytes(held.data[at - held.base + len(MAGIC) : record.block - held.base - len(GAP)]))
+        last = record.next - len(GAP)
+        inside = last <= held.base + len(held.data)
+        block = bytes(held.data[record.block - held.base : last - held.base]) if inside else file.read(record.block, last - record.block)
         head, gap, body = block.partition(GAP)
         length = re.search(rb"(?im)^content-length:\s*([0-9]+)", head) if gap else None
-        kind = record.fields.get("warc-type")
-        yield (
+        kind = fields.get("warc-type")
+        row = (
             record.start,
             kind,
-            record.fields.get("warc-record-id"),
-            record.fields.get("warc-target-uri"),
-            record.fields.get("warc-refers-to"),
-            record.fields.get("warc-payload-digest", "").removeprefix("sha1:") or None,
+            fields.get("warc-record-id"),
+            fields.get("warc-target-uri"),
+            fields.get("warc-refers-to"),
+            fields.get("warc-payload-digest", "").removeprefix("sha1:") or None,
             int(length[1]) if length else None,
             None if kind == "revisit" else body,
         )
         at = record.next
+        yield row, at
 
 
 def page_number(name: Column) -> Column:

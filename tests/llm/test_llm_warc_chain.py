@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from compare import sql_result
 from corpusflow.llm import oracles, queries
-from corpusflow.llm.warc_chain import page_records, read_archive, scan_chunk, write_archive
+from corpusflow.llm.warc_chain import chain_ends, chain_entries, page_records, read_archive, scan_chunk, write_archive
 from corpusflow.scratch import scratch_path
 from corpusflow.ship import ship_package
 
@@ -83,3 +83,36 @@ def test_queries_agree_with_sql(spark, name):
     plain = lambda v: None if v is None or v != v else v if isinstance(v, (str, bool)) else int(v)
     rows = [tuple(None if str(x) in ("<NA>", "nan") else plain(x) for x in r) for r in want[list(got[0].asDict())].itertuples(index=False)]
     assert sorted((tuple(r) for r in got), key=str) == sorted(rows, key=str)
+
+
+@pytest.mark.parametrize("chunk", [4 << 20, 50_000, 700])
+def test_headers_of_any_length(spark, chunk):
+    ship_package(spark)
+    rows = pages() + [(70, "http://x/" + "y" * 70_000, "long url"), (71, "http://x/" + "é" * 200_000, "<p>longer</p>"), (72, "u", "behind"), (73, "u", "WARC/1.0\r\na: " + "b" * 200_000)]
+    path = scratch_path(spark, "warc")
+    write_archive(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    found = read_archive(spark, path, chunk, whole=True)
+    assert sorted((tuple(r) for r in page_records(found).collect()), key=str) == expected(rows, 0)
+    targets = {r.record_id: r.target for r in found.collect()}
+    assert targets["<urn:page:70>"] == rows[-4][1] and targets["<urn:page:71>"] == rows[-3][1]
+
+
+def test_broken_chains_are_told(spark, tmp_path):
+    ship_package(spark)
+    record = b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    files = {"a": (record * 5 + b"rubbish" + record, 5 * len(record)), "b": (record[:-6], 0), "c": (b"no archive", 0), "d": (b"", 0), "e": (record * 4, 4 * len(record))}
+    for name, (data, _) in files.items():
+        (tmp_path / f"{name}.warc").write_bytes(data)
+    path = f"file://{tmp_path}"
+    entries = chain_entries(spark, path, 100)
+    got = {r.path[-6]: (r.size, r.end) for r in chain_ends(spark, path, entries, 100).collect()}
+    assert got == {name: (len(data), end) for name, (data, end) in files.items() if data}
+    with pytest.raises(ValueError, match="breaks at byte"):
+        read_archive(spark, path, 100, whole=True)
+
+
+def test_headers_inside_headers_are_read_once():
+    data = b"WARC/1.0\r\nx: " * 100_000
+    assert scan_chunk(data, 0, len(data), len(data)) == []
+    data += b"\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
+    assert len(scan_chunk(data, 0, len(data), len(data))) == 100_000
