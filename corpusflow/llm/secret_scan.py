@@ -1,17 +1,21 @@
 """Secrets in texts: patterns, and encoded keys or tokens whose structure holds.
 
 Base kinds are matched by pattern: ``assign``, ``access`` and ``hex``.  Candidates in base64
-or hex are decoded and parsed, and reported only if their structure holds to the last byte:
+or hex are decoded and parsed, and reported only if their structure holds to the last byte.
+A candidate may begin anywhere, also behind other letters; its first bytes must be those of a
+key, and its nested lengths say where it ends, so that nothing behind it matters:
 
 * ``der``: nested lengths of a private key (RSA, PKCS#8 or EC) in base64 or hex, in one
-  piece or in the lines of a PEM block;
-* ``ssh``: an ``openssh-key-v1`` blob whose length-prefixed fields fit;
+  piece or in the lines of a PEM block, indented or with line ends written as ``\\n``;
+* ``ssh``: an ``openssh-key-v1`` blob whose length-prefixed fields fit, in pieces likewise;
 * ``token``: a signed token, of which the header is JSON with an algorithm, the payload
   JSON, and the signature as long as the algorithm says.
 
 Null texts count as empty: no spans, digests of the empty string.  Positions are code
 points, ends exclusive.  Overlapping spans of different kinds are all reported.  Rows are
-judged one by one, so repeated rows and ids make no difference.
+judged one by one, so repeated rows and ids make no difference.  Columns beside ``doc_id`` and
+``text`` may have any names.  Very long texts are searched whole, in time proportional to their
+length; an encoded key has ``MOST_BYTES`` at most.
 """
 
 from __future__ import annotations
@@ -35,9 +39,19 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ASSIGN_HINTS = ("passw", "secret", "token", "api_key", "apikey")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-HEX_KEY = re.compile(r"[0-9A-Fa-f]{80,}")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
-TOKEN = re.compile(r"[A-Za-z0-9_-]{12,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: Where a key may begin, found also inside longer runs: a sequence tag, its length and the tag of the version number.
+HEX_START = re.compile(r"(?=30(?:[0-7][0-9A-Fa-f]|81..|82.{4}|83.{6})020100|30(?:[0-7][0-9A-Fa-f]|81..|82.{4}|83.{6})020101)")
+HEX_DIGITS = re.compile(r"[0-9A-Fa-f]*+")
+DER_START = re.compile(r"(?=M[A-P][A-Za-z0-9+/_-]{14})")
+SSH_START = "b3BlbnNzaC1rZXktdjEA"
+LETTERS = re.compile(r"[A-Za-z0-9+/_-]++")
+#: What may part the pieces of one key: white space, line ends written out, quotes and what joins strings.
+BETWEEN = re.compile(r"""(?:[\s"'+,]|\\[nrt])*+""")
+MOST_BYTES = 1 << 16
+#: Three runs of letters with dots between, from every run on; a run is never entered in its middle.
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+))")
+TOKEN_START = re.compile(r"(?=e[wy][A-Za-z0-9_-]{10})")
+JSON_START = re.compile(rb'\{\s*"[A-Za-z]')
 
 #: Signature bytes of the registered signing algorithms; None: any length above 127.
 SIGNATURE_BYTES = {
@@ -87,29 +101,40 @@ def is_key_der(data: bytes) -> bool:
     return False
 
 
-def is_ssh_key(data: bytes) -> bool:
-    """Whether ``data`` is a private key file of length-prefixed fields."""
+def ssh_length(data: bytes) -> int | None:
+    """Bytes of the private key of length-prefixed fields that begins ``data``, else None."""
     if not data.startswith(SSH_MAGIC):
-        return False
-    at, fields = len(SSH_MAGIC), []
+        return None
+    at = len(SSH_MAGIC)
 
-    def take(at: int) -> tuple[bytes, int] | None:
+    def after(at: int) -> int | None:
         end = at + 4 + int.from_bytes(data[at : at + 4], "big")
-        return (data[at + 4 : end], end) if at + 4 <= len(data) and end <= len(data) else None
+        return end if at + 4 <= len(data) and end <= len(data) else None
 
-    for _ in range(3):  # cipher, key derivation, its options
-        if (got := take(at)) is None:
-            return False
-        fields.append(got[0])
-        at = got[1]
+    for k in range(3):  # cipher, key derivation, its options
+        begin, end = at, after(at)
+        if end is None or (not k and end == begin + 4):
+            return None
+        at = end
     count, at = int.from_bytes(data[at : at + 4], "big"), at + 4
-    if not fields[0] or not 1 <= count <= 64:
-        return False
+    if not 1 <= count <= 64:
+        return None
     for _ in range(count + 1):  # public keys, then the private part
-        if (got := take(at)) is None:
-            return False
-        at = got[1]
-    return at == len(data)
+        if (end := after(at)) is None:
+            return None
+        at = end
+    return at
+
+
+def der_length(head: bytes) -> int | None:
+    """Bytes of the private key that may begin with ``head``, of which some bytes suffice, else None."""
+    if len(head) < 6 or head[0] != 0x30:
+        return None
+    size = head[1] & 0x7F if head[1] >= 0x80 else 0
+    if size > 3 or head[1] == 0x80 or head[2 + size : 4 + size] != b"\x02\x01" or head[4 + size] > 1:
+        return None
+    total = 2 + size + (int.from_bytes(head[2 : 2 + size], "big") if size else head[1])
+    return total if total <= MOST_BYTES else None
 
 
 def decoded(text: str) -> bytes | None:
@@ -149,40 +174,82 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
+def _collected(text: str, at: int, need: int) -> tuple[str, list[tuple[int, int]]]:
+    """Up to ``need`` base64 letters from ``at`` on, and ``(letters before, place)`` of the pieces they come in."""
+    out, places, have = [], [], 0
+    while have < need and (m := LETTERS.match(text, at, at + need - have)):
+        out.append(m[0])
+        places.append((have, at))
+        have += len(m[0])
+        at = BETWEEN.match(text, m.end()).end()
+    return "".join(out), places
+
+
+def _base64_end(text: str, places: list[tuple[int, int]], letters: int) -> int:
+    """Place behind so many letters of a collected key, and its padding."""
+    before, place = next(p for p in reversed(places) if p[0] < letters)
+    end = place + letters - before
+    while end < len(text) and text[end] == "=" and letters % 4:
+        end, letters = end + 1, letters + 1
+    return end
+
+
+def _der_spans(text: str) -> Iterator[tuple[int, int, str]]:
+    done = 0
+    for m in DER_START.finditer(text):
+        at = m.start()
+        total = der_length(decoded(text[at : at + 16]) or b"") if at >= done else None
+        if total is None:
+            continue
+        need = -(-total * 4 // 3)
+        letters, places = _collected(text, at, need)
+        if len(letters) == need and is_key_der((decoded(letters) or b"")[:total]):
+            done = _base64_end(text, places, need)
+            yield at, done, "der"
+
+
+def _ssh_spans(text: str) -> Iterator[tuple[int, int, str]]:
+    at = text.find(SSH_START)
+    while at >= 0:
+        head = decoded(_collected(text, at, 28)[0]) or b""
+        # the name of a cipher comes first
+        named = len(head) == 21 and 1 <= int.from_bytes(head[15:19], "big") <= 255
+        letters, places = _collected(text, at, MOST_BYTES * 4 // 3 if named else 0)
+        total = ssh_length(decoded(letters[: len(letters) // 4 * 4] if len(letters) % 4 == 1 else letters) or b"")
+        end = at + 1 if total is None else _base64_end(text, places, -(-total * 4 // 3))
+        if total is not None:
+            yield at, end, "ssh"
+        at = text.find(SSH_START, end)
+
+
+def _hex_spans(text: str) -> Iterator[tuple[int, int, str]]:
+    done = 0
+    for m in HEX_START.finditer(text):
+        at = m.start()
+        head = HEX_DIGITS.match(text, at, at + 16)[0]
+        total = der_length(bytes.fromhex(head)) if at >= done and len(head) == 16 else None
+        if total is None:
+            continue
+        digits = HEX_DIGITS.match(text, at, at + 2 * total)[0]
+        if len(digits) == 2 * total and is_key_der(bytes.fromhex(digits)):
+            done = at + 2 * total
+            yield at, done, "der"
+
+
+def _token_spans(text: str) -> Iterator[tuple[int, int, str]]:
+    for m in TOKEN.finditer(text):
+        for start in TOKEN_START.finditer(m[1]):
+            at = m.start() + start.start()
+            # twelve letters show whether an object begins here
+            if JSON_START.match(decoded(text[at : at + 12]) or b"") and is_signed_token(text[at : m.end(3)]):
+                yield at, m.end(3), "token"
+                break
+
+
 def structural_spans(text: str) -> list[tuple[int, int, str]]:
     """``(start, end, kind)`` of encoded keys and signed tokens."""
-    found = []
-    for m in HEX_KEY.finditer(text):
-        digits = m[0][: len(m[0]) // 2 * 2]
-        if is_key_der(bytes.fromhex(digits)):
-            found.append((m.start(), m.start() + len(digits), "der"))
-    for m in BASE64.finditer(text):
-        kind, end = _confirmed(m[0])
-        if kind:
-            found.append((m.start(), m.start() + end, kind))
-    if "." in text and "ey" in text:
-        found += [(m.start(), m.end(), "token") for m in TOKEN.finditer(text) if m[0].startswith("ey") and is_signed_token(m[0])]
-    return found
-
-
-def _confirmed(text: str) -> tuple[str | None, int]:
-    """Kind and length of a key that begins ``text``; what follows the key may be prose."""
-    if text[0] == "M":  # the first byte of a sequence; its length says where the key ends
-        head = decoded(text[:8]) or b""
-        size = head[1] & 0x7F if len(head) > 5 and head[1] >= 0x80 else 0
-        total = 2 + (head[1] if not size else size + int.from_bytes(head[2 : 2 + size], "big")) if len(head) > 5 and size <= 4 else 0
-        letters = [i for i, c in enumerate(text) if c not in "\r\n="]
-        need = -(-total * 4 // 3)
-        if 0 < need <= len(letters):
-            end = letters[need - 1] + 1
-            padding = len(text[end:]) - len(text[end:].lstrip("="))
-            if is_key_der(decoded(text[:end]) or b""):
-                return "der", end + padding
-    elif text[0] == "b":  # of the file's magic; lines of prose or of a PEM end may hang on
-        for end in [len(text), *reversed([m.start() for m in re.finditer(r"\r?\n", text)])][:4]:
-            if is_ssh_key(decoded(text[:end]) or b""):
-                return "ssh", end
-    return None, 0
+    found = [*_hex_spans(text), *_der_spans(text), *_ssh_spans(text)]
+    return [*found, *_token_spans(text)] if "." in text else found
 
 
 def digest(spans: list[tuple[int, int, str]]) -> str:
