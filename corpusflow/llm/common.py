@@ -18,6 +18,22 @@ NON_WORD_RUN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_ROWS = 500_000
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, with underscores added where ``df`` has a column of that name in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def numbered_columns(df: DataFrame) -> DataFrame:
+    """``df`` with columns ``c0, c1, …``: functions over Arrow batches do not take names with dots."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once per row, however often it is used."""
     return F.transform(F.array(value), body)[0]

@@ -4,7 +4,10 @@ Every document gets a rate, the expected number of its copies.  Of all rates wit
 ``sum(rate * size) = target`` in each source and ``0 <= rate <= limit``, the ones nearest to
 one in relative entropy are ``min(limit, exp(lambda * size / mean))`` with one ``lambda`` per
 source.  Newton steps on the dual find it, each a sum over the corpus; a bracket around the
-root keeps a step from leaving it.  As the rate depends on source and size only, the sums
+root keeps a step from leaving it.  A source is done when its words come within half a word of
+the target, or a billionth of it; all sources step together, so the slowest one sets the
+number of rounds.  After ``STEPS`` rounds the rates stand as they are, and what is missing is left to
+the settling of whole copies below.  As the rate depends on source and size only, the sums
 run over counts by ``(source, size)``.
 
 Rates become whole copies without drift: cells of equal size round their copies along
@@ -15,7 +18,8 @@ documents of a cell get the additional copy follows a hash of the id.
 Only DataFrame functions are used.  Null texts have size 0, null sources are a source of
 their own and come last.  Documents of size 0 take nothing.  Repeated rows are documents of
 their own; rows equal in id and text are told apart by nothing, so it makes no difference
-which of them gets a copy.  An empty table gives no rows.
+which of them gets a copy.  Very long texts are counted whole.  Columns of the input may have any
+names.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,13 +29,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import SPACE_RUN
+from corpusflow.llm.common import SPACE_RUN, free_names
 from corpusflow.scratch import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 LIMIT = 3
 STEPS = 60
 CLOSE = 1e-9
+HALF_WORD = 0.5
 SETTLINGS = 6
 SLICES = 1 << 12
 
@@ -107,7 +112,7 @@ def _newton(cells: DataFrame, state: DataFrame, limit: int) -> DataFrame:
     step = F.col("tilt") - off * F.col("taken") / F.col("slope")
     within = F.col("slope").isNotNull() & (F.col("slope") > 0) & (low.isNull() | (step > low)) & (high.isNull() | (step < high)) & (F.abs(step - F.col("tilt")) < 50)
     aside = F.when(low.isNull(), F.col("tilt") * 2 - 1).when(high.isNull(), F.col("tilt") * 2 + 1).otherwise((low + high) / 2)
-    near = F.abs(off) < CLOSE
+    near = (F.abs(off) < CLOSE) | (F.abs(F.col("taken") - F.col("target")) < HALF_WORD)
     joined = state.join(sums, state.source.eqNullSafe(F.col("_s")), "left")
     met = F.col("taken").isNotNull()
     stay = lambda name, new: F.when(met, new).otherwise(F.col(name)).alias(name)
@@ -192,7 +197,9 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, limit: in
     """
     found = mixed(docs, weights, limit).where("copies > 0")
     totals = found.groupBy("doc_id", "text_key", "source").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
-    keys = totals.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("source").alias("_source"), "copies")
-    marked = docs.drop("copies").withColumn("_text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_key", "source"])
-    same = marked.doc_id.eqNullSafe(F.col("_id")) & (marked["_text_key"] == F.col("_key")) & marked.source.eqNullSafe(F.col("_source"))
-    return marked.join(keys, same).drop("_text_key", "_id", "_key", "_source")
+    rest = docs.drop("copies")
+    of_id, of_text, of_source, key = free_names(rest, "of_id", "of_text", "of_source", "text_key")
+    keys = totals.select(F.col("doc_id").alias(of_id), F.col("text_key").alias(of_text), F.col("source").alias(of_source), "copies")
+    marked = rest.withColumn(key, F.xxhash64("text")).dropDuplicates(["doc_id", key, "source"])
+    same = marked["doc_id"].cast("long").eqNullSafe(F.col(of_id)) & (marked[key] == F.col(of_text)) & marked["source"].eqNullSafe(F.col(of_source))
+    return marked.join(keys, same).select(*[marked[f"`{c}`"] for c in rest.columns], "copies")

@@ -97,7 +97,7 @@ harm AS (
   FROM edges, known, sizes WHERE allowed > 0 AND blocked > 0 GROUP BY e
 ),
 edge AS (SELECT coalesce((SELECT e FROM harm ORDER BY harm, abs(e), e LIMIT 1), 0) AS edge)
-SELECT page_id, host, path, rule, coalesce(action, CASE WHEN steps < edge * 4096 THEN 'block' ELSE 'allow' END) AS verdict, steps / 1048576.0 AS score
+SELECT page_id, host, path, rule, coalesce(action, CASE WHEN steps < edge * 4096 THEN 'block' ELSE 'allow' END) AS verdict, steps AS score_steps
 FROM scored, edge
 """
 

@@ -18,6 +18,7 @@ under any partitioning, and no group is ever sorted.
 
 Only DataFrame functions are used.  Null texts have no words and fail the base rules; null
 languages and sources are groups of their own.  Repeated rows count as often as they occur.
+Very long texts are counted whole.  Columns beside the four that are read may have any names.
 An empty table gives no rows.
 """
 
@@ -28,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import let, space_words
+from corpusflow.llm.common import let, sent_whole, space_words
 from corpusflow.scratch import stored
 
 GRID = 1024
@@ -174,11 +175,12 @@ def robust_estimates(vectors: DataFrame, share: float = SHARE, steps: int = STEP
     plain = _moments(vectors, ["g"], 1.0).withColumn("start", F.lit(1))
     now = stored(_inverted(middle.unionByName(plain), ["g", "start"]), "estimates")
     for _ in range(steps):
-        near = vectors.join(now.drop("n"), "g").withColumn("bin", F.floor(F.log1p(squared_distance()) * BINS).cast("int"))
+        # a row for each group and start: rows meet it where they are and are counted before they travel
+        near = vectors.join(sent_whole(now.drop("n")), "g").withColumn("bin", F.floor(F.log1p(squared_distance()) * BINS).cast("int"))
         along = Window.partitionBy("g", "start").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
         bins = near.groupBy("g", "start", "bin").agg(F.count(F.lit(1)).alias("k")).withColumn("run", F.sum("k").over(along))
-        cut = bins.join(sizes.select("g", "size"), "g").where(F.col("run") >= F.ceil(F.col("size") * share)).groupBy("g", "start").agg(F.min("bin").alias("cut"))
-        core = near.join(stored(cut, "cut"), ["g", "start"]).where("bin <= cut")
+        cut = bins.join(sent_whole(sizes.select("g", "size")), "g").where(F.col("run") >= F.ceil(F.col("size") * share)).groupBy("g", "start").agg(F.min("bin").alias("cut"))
+        core = near.join(sent_whole(stored(cut, "cut")), ["g", "start"]).where("bin <= cut")
         now = stored(_inverted(_moments(core, ["g", "start"], consistency(share, P)), ["g", "start"]), "estimates")
     tightest = now.groupBy("g").agg(F.min(F.struct("logdet", "start")).alias("best")).select("g", F.col("best.start").alias("start"))
     return now.join(tightest, ["g", "start"]).drop("start", "logdet", "n").join(sizes.select("g", F.col("size").alias("n")), "g")
@@ -204,7 +206,7 @@ def outliers(docs: DataFrame, share: float = SHARE, quantile: float = QUANTILE,
     pick = F.when(F.col("k0"), F.col("g0")).when(F.col("k1"), F.col("g1")).when(F.col("k2"), F.col("g2"))
     chosen = stored(chosen.select("g0", pick.alias("g")).where("g IS NOT NULL").join(found.drop("n"), "g").drop("g"), "chosen")
     limit = chi_square_quantile(quantile, P)
-    judged = rows.join(chosen, "g0", "left").withColumn("distance", squared_distance())
+    judged = rows.join(sent_whole(chosen), "g0", "left").withColumn("distance", squared_distance())
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True))).alias("kept"),

@@ -20,7 +20,7 @@ from corpusflow.llm.secret_scan import scan_secrets
 from corpusflow.llm.sentence_spans import remove_repeated_spans
 from corpusflow.llm.simhash import simhash_components
 from corpusflow.llm.toxicity import score_toxicity, train_toxicity
-from corpusflow.llm.url_filter import judge_urls
+from corpusflow.llm.url_filter import GRID, judge_urls
 from corpusflow.llm.warc_chain import page_records, read_archive, write_archive
 from corpusflow.plans.registry import Query
 from corpusflow.scratch import scratch_path
@@ -94,7 +94,7 @@ def op7_language_svm(spark: SparkSession, folder: str) -> DataFrame:
 def op8_warc_chain(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "archive")
     write_archive(read_table(spark, folder, "pages").select("page_id", "url", "html"), path, least_bytes=0)
-    return page_records(read_archive(spark, path))
+    return page_records(read_archive(spark, path, whole=True))
 
 
 @query
@@ -121,7 +121,8 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return judge_urls(read_table(spark, folder, "pages").select("page_id", "url"))
+    found = judge_urls(read_table(spark, folder, "pages").select("page_id", "url"))
+    return found.select("page_id", "host", "path", "rule", "verdict", (F.col("score") * GRID).cast("long").alias("score_steps"))
 
 
 @query

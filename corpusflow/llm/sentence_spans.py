@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.llm.common import free_names, numbered_columns
 from corpusflow.scratch import stored
 
 SENTENCES = 2
@@ -163,14 +164,18 @@ def repeated_runs(docs: DataFrame, sentences: int = SENTENCES, words: int = WORD
 def remove_repeated_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS) -> DataFrame:
     """``docs`` with repeated sentences cut from ``text``, and ``n_sentences, n_removed, n_words, n_words_removed``.
 
-    All rows and the other columns stay; ``n_chars`` is not recomputed.
+    All rows and the other columns stay, whatever their names, but for columns of the four
+    names, which are replaced; ``n_chars`` is not recomputed.
     """
-    spans = repeated_runs(docs, sentences, words).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("first", "last")).alias("_spans"))
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_spans")
-    marked = docs.withColumn("_text_key", F.xxhash64("text"))
-    same = marked.doc_id.cast("long").eqNullSafe(F.col("_id")) & (marked["_text_key"] == F.col("_key"))
-    joined = marked.join(spans, same, "left").select(*docs.columns, "_spans")
-    at, more = docs.columns.index("text"), ["n_sentences", "n_removed", "n_words", "n_words_removed"]
+    spans = repeated_runs(docs, sentences, words).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    more = ["n_sentences", "n_removed", "n_words", "n_words_removed"]
+    docs = docs.drop(*more)
+    of_id, of_text, found, key = free_names(docs, "of_id", "of_text", "spans", "text_key")
+    spans = spans.select(F.col("doc_id").alias(of_id), F.col("text_key").alias(of_text), F.col("spans").alias(found))
+    marked = docs.withColumn(key, F.xxhash64("text"))
+    same = marked["doc_id"].cast("long").eqNullSafe(F.col(of_id)) & (marked[key] == F.col(of_text))
+    joined = marked.join(spans, same, "left").select(*[f"`{c}`" for c in docs.columns], found)
+    at, names = docs.columns.index("text"), [*docs.columns, *more]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [f"{m} long" for m in more])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,6 +190,6 @@ def remove_repeated_spans(docs: DataFrame, sentences: int = SENTENCES, words: in
             columns = list(batch.columns[:-1])
             columns[at] = pa.array(texts, pa.string())
             columns += [pa.array([n[k] for n in numbers], pa.int64()) for k in range(4)]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], *more])
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return joined.mapInArrow(work, schema)
+    return numbered_columns(joined).mapInArrow(work, schema)

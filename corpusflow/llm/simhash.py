@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import connected
+from corpusflow.llm.common import connected, free_names
 from corpusflow.scratch import stored
 
 BITS = 64
@@ -174,7 +174,8 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Data
     """
     found = simhash_components(docs, shingle, radius)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    kept = found.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key"), F.lit(1).alias("_one")).distinct()
-    marked = docs.withColumn("_text_key", F.xxhash64("text"))
-    rest = marked.join(kept, marked.doc_id.eqNullSafe(kept["_id"]) & (marked["_text_key"] == kept["_key"]), "left_semi")
-    return rest.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    of_id, of_text, key = free_names(docs, "of_id", "of_text", "text_key")
+    kept = found.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias(of_id), F.col("k.text_key").alias(of_text)).distinct()
+    marked = docs.withColumn(key, F.xxhash64("text"))
+    rest = marked.join(kept, marked["doc_id"].eqNullSafe(kept[of_id]) & (marked[key] == kept[of_text]), "left_semi")
+    return rest.dropDuplicates(["doc_id", key]).select(*[f"`{c}`" for c in docs.columns])

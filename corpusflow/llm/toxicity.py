@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.llm.common import numbered_columns
 from corpusflow.scratch import stored
 
 ORDER = 3
@@ -355,7 +356,8 @@ def _kept(docs: DataFrame, model: ToxicModel, names: list[str]) -> DataFrame:
     bad = float(np.log(THRESHOLD / (1 - THRESHOLD)))
     cut = model.slope, model.shift
     sent = docs.sparkSession.sparkContext.broadcast((np.flatnonzero(model.weights), model.weights[model.weights != 0], model.bias))
-    at = docs.columns.index("text")
+    columns = docs.columns
+    at = columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, values, bias = sent.value
@@ -363,6 +365,6 @@ def _kept(docs: DataFrame, model: ToxicModel, names: list[str]) -> DataFrame:
         weights[places] = values
         for batch in batches:
             stay = [cut[0] * text_value(t.as_py(), weights, bias)[0] + cut[1] < bad for t in batch.column(at)]
-            yield batch.filter(pa.array(stay, pa.bool_()))
+            yield batch.filter(pa.array(stay, pa.bool_())).rename_columns(columns)
 
-    return docs.mapInArrow(work, docs.schema)
+    return numbered_columns(docs).mapInArrow(work, docs.schema)
