@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusflow.functions.lists import list_array, list_parts
 from corpusflow.operators.scan import SCAN_BITS, exclusive_scan
+from corpusflow.scratch import stored
+from corpusflow.ship import ship_package
 
 
 def token_offsets(
@@ -49,35 +56,108 @@ def contiguous_shards(
     return rows.select(split, order, shard.cast("int").alias("shard"))
 
 
+def in_order(df: DataFrame, offsets: DataFrame, order: str = "doc_id", split: str = "split") -> DataFrame:
+    """Rows of ``df`` with their ``start``, in order of ``(split, order)`` within every task.
+
+    Rows and offsets meet under their key by one range partitioning: each wide row travels
+    once.  The ``groupBy`` only pairs the two; it finds its rows placed and needs no exchange.
+    """
+    rest = [c for c in df.columns if c not in (split, order)]
+    wide = df.select(split, order, F.struct(*rest).alias("_row"), F.lit(None).cast("bigint").alias("start"))
+    empty = F.lit(None).cast(wide.schema["_row"].dataType)
+    starts = offsets.select(split, order, empty.alias("_row"), "start")
+    met = wide.unionByName(starts).repartitionByRange(split, order).groupBy(split, order)
+    paired = met.agg(F.first("_row", ignorenulls=True).alias("_row"), F.max("start").alias("start"))
+    return paired.select(split, order, "_row.*", "start")
+
+
+class _Cutter:
+    """Cuts a stream of ids with known places at page borders."""
+
+    def __init__(self, page_size: int) -> None:
+        self.size = page_size
+        self.split, self.next, self.held = None, None, np.empty(0, np.int32)
+        self.out: list[tuple] = []  # split, first page, place in it (None: whole pages), ids
+
+    def feed(self, split, start: int, ids: np.ndarray) -> None:
+        if split != self.split or start != self.next:
+            self.flush()
+            self.split, self.next = split, start
+        data = np.concatenate([self.held, ids]) if len(self.held) else ids
+        begin = self.next - len(self.held)
+        self.next += len(ids)
+        head = -begin % self.size
+        if head and len(data) >= head:
+            self.out.append((split, begin // self.size, begin % self.size, data[:head]))
+            data, begin, head = data[head:], begin + head, 0
+        whole = 0 if head else len(data) // self.size * self.size
+        if whole:
+            self.out.append((split, begin // self.size, None, data[:whole]))
+        self.held = data[whole:]
+
+    def flush(self) -> None:
+        if len(self.held):
+            begin = self.next - len(self.held)
+            self.out.append((self.split, begin // self.size, begin % self.size, self.held))
+        self.held = self.held[:0]
+
+    def batch(self, kinds: list[pa.DataType]) -> pa.RecordBatch:
+        splits, pages, places, sizes = [], [], [], []
+        for split, page, place, ids in self.out:
+            n = 1 if place is not None else len(ids) // self.size
+            splits += [split] * n
+            pages += range(page, page + n)
+            places += [place] * n
+            sizes += [len(ids) // n] * n
+        ids = np.concatenate([np.empty(0, np.int32), *[x for *_, x in self.out]])
+        self.out = []
+        lists = list_array(ids, np.array(sizes, np.int64), pa.array([False] * len(sizes)))
+        return pa.record_batch([pa.array(splits, kinds[0]), pa.array(pages, pa.int64()), pa.array(places, pa.int32()), lists], names=["split", "page", "at", "ids"])
+
+
+def page_pieces(df: DataFrame, page_size: int, split: str = "split", ids: str = "ids", start: str = "start") -> DataFrame:
+    """``(split, page, at, ids)``: whole pages, with null ``at``, and pieces of pages at place ``at``.
+
+    Rows that follow one another in a task are cut as one stream, so that pieces remain only
+    where a stretch of the stream begins or ends.  Any order of rows gives right pieces.
+    """
+    ship_package(df.sparkSession)
+    kind = df.schema[split].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter, kinds = _Cutter(page_size), [pa.string()]
+        for batch in batches:
+            kinds = [batch.column(0).type]
+            splits, starts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            values, ends = list_parts(batch.column(2))
+            values, low, i = values.astype(np.int32, copy=False), 0, 0
+            while i < len(splits):
+                # rows that continue each other are one stretch of the flat values
+                j, place = i + 1, starts[i] + int(ends[i]) - low
+                while j < len(splits) and splits[j] == splits[i] and starts[j] == place:
+                    place += int(ends[j] - ends[j - 1])
+                    j += 1
+                high = int(ends[j - 1])
+                if high > low:
+                    cutter.feed(splits[i], starts[i], values[low:high])
+                low, i = high, j
+            yield cutter.batch(kinds)
+        cutter.flush()
+        yield cutter.batch(kinds)
+
+    return df.select(split, F.col(start).cast("bigint"), ids).mapInArrow(work, f"split {kind}, page bigint, at int, ids array<int>")
+
+
 def cut_pages(df: DataFrame, page_size: int, split: str = "split", ids: str = "ids", start: str = "start") -> DataFrame:
     """Pages from rows that know their place: ``(split, page, ids)``.
 
-    Arrays are sliced at page borders and the slices regrouped; tokens are never rows.
-    A page holds at most ``page_size`` ids, so no group can grow.
+    Tokens are never rows.  Whole pages stay in the task that cut them, in order; only
+    pieces are exchanged, a page at most in a group.
     """
-    first = F.expr(f"{start} div {page_size}")
-    last = F.expr(f"({start} + size({ids}) - 1) div {page_size}")
-    # No filter on the ids: it would sink below the join and encode every text twice.
-    touched = F.when(F.size(ids) > 0, F.sequence(first, last))
-    begin = F.col("page") * page_size
-    skip = F.greatest(begin - F.col(start), F.lit(0))
-    stop = F.least(begin + page_size - F.col(start), F.size(ids).cast("bigint"))
-    # Pages are exploded before slicing: generated code then copies each slice once, where
-    # a lambda would box the whole array for every page.
-    return (
-        df.select(split, start, ids, F.explode(touched).alias("page"))
-        .select(
-            split,
-            "page",
-            F.struct(
-                F.greatest(F.col(start) - begin, F.lit(0)).cast("int").alias("at"),
-                F.slice(ids, (skip + 1).cast("int"), (stop - skip).cast("int")).alias("part"),
-            ).alias("piece"),
-        )
-        .groupBy(split, "page")
-        .agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
-        .select(split, "page", F.flatten(F.col("pieces.part")).alias("ids"))
-    )
+    cut = stored(page_pieces(df, page_size, split, ids, start), "pages")
+    pieces = cut.where("at IS NOT NULL").groupBy("split", "page").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("pieces"))
+    joined = pieces.select("split", "page", F.flatten(F.col("pieces.ids")).alias("ids"))
+    return cut.where("at IS NULL").select("split", "page", "ids").unionByName(joined).withColumnRenamed("split", split)
 
 
 def token_pages(
@@ -94,8 +174,8 @@ def token_pages(
 
     ``length`` must equal the size of ``ids``.  Where it can be had without encoding
     (characters), the offsets never touch the encoder; otherwise store the encoded rows
-    first (``scratch.stored``).
+    first (``scratch.stored``).  The ids travel once.
     """
     offsets = token_offsets(df, order, length, split, bits, bounds)
-    placed = df.select(split, order, ids).join(offsets.select(split, order, "start"), [split, order], "left")
+    placed = in_order(df.select(split, order, ids), offsets, order, split)
     return cut_pages(placed, page_size, split, ids)

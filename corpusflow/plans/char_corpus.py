@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusflow.functions.chars import collect_vocab
 from corpusflow.operators.encode import CharEncoder
-from corpusflow.operators.pages import cut_pages, token_offsets
+from corpusflow.operators.pages import cut_pages, in_order, token_offsets
 from corpusflow.operators.splits import split_contiguous
 from corpusflow.operators.vocab import build_vocab
 from corpusflow.sources.tables import spread
@@ -35,9 +35,8 @@ def char_pages(docs: DataFrame, page_size: int = 1024, encoder: CharEncoder | No
     """Pages of the encoded texts of ``(split, doc_id, text)``.
 
     Offsets need lengths only, so the texts are encoded after they met their offsets:
-    a character of text is a byte or two in a shuffle, an id four.
+    a character of text is a byte or two in a shuffle, an id four.  Texts are exchanged once.
     """
     encoder = encoder or char_encoder(docs)
-    offsets = token_offsets(docs, length=F.length("text"), split=split).select(split, "doc_id", "start")
-    texts = spread(docs.select(split, "doc_id", "text"), "doc_id")
-    return cut_pages(encoder.encode(texts.join(offsets, [split, "doc_id"], "left")), page_size, split)
+    offsets = token_offsets(docs, length=F.length("text"), split=split)
+    return cut_pages(encoder.encode(in_order(docs.select(split, "doc_id", "text"), offsets, split=split)), page_size, split)

@@ -17,7 +17,7 @@ from corpusflow.sinks.tables import append_registry, write_vocab
 from corpusflow.sources.dataset import read_dataset, read_encoder, read_vocab
 from corpusflow.sources.tables import read_documents, read_table, spread_documents
 from corpusflow.sources.text import read_text_corpus, sum_first_field
-from corpusflow.sources.tokenfile import pages_per_file, read_token_files, write_token_files
+from corpusflow.sources.tokenfile import read_token_files, write_token_files
 
 # Shared pieces of the SQL.  DuckDB splits text by code points, as Spark does.
 VOCAB = """
@@ -392,9 +392,7 @@ def subword_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def _written(spark: SparkSession, folder: str, layout: str) -> DataFrame:
     path, docs = scratch_path(spark, "tokens"), _one_split(read_documents(spark, folder))
-    tokens = sum(split_sizes(docs, F.length("text")).values())
-    size = pages_per_file(tokens, 1024, spark.sparkContext.defaultParallelism)
-    write_token_files(char_pages(docs), path, layout=layout, file_pages=size)
+    write_token_files(char_pages(docs), path, layout=layout, in_stretches=True)
     back = read_token_files(spark, path).where("split = 'train'")
     return back.select("split", "page", F.size("ids").alias("size"), _digest())
 

@@ -397,17 +397,21 @@ def write_token_files(
     layout: str = "parts",
     mode: str = "append",
     file_pages: int = FILE_PAGES,
+    in_stretches: bool = False,
 ) -> None:
     """Write ``(split, page, ids)`` as flat token files; see the module for the layouts.
 
     A task writes stretches of ``file_pages`` consecutive pages.  They are brought together
-    by their number, without the sampling pass that a range partitioning needs.
+    by their number, without the sampling pass that a range partitioning needs.  Pages that
+    lie in order already, as :func:`cut_pages` leaves them, are written ``in_stretches`` where
+    they are; a stretch becomes a file.
     """
     if layout not in ("parts", "single"):
         raise ValueError(f"unknown layout {layout!r}")
     spark = pages.sparkSession
     spark.dataSource.register(TokenFiles)
     rows = pages.select("split", "page", F.col("ids").cast("array<int>").alias("ids"))
-    rows = rows.repartition("split", F.expr(f"page div {file_pages}")).sortWithinPartitions("split", "page")
+    if not in_stretches:
+        rows = rows.repartition("split", F.expr(f"page div {file_pages}")).sortWithinPartitions("split", "page")
     writer = rows.write.format("tokenfiles").mode(mode)
     writer.option("page_size", page_size).option("layout", layout).save(path)
