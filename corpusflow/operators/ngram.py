@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from corpusflow.functions.hashing import hash_uniform
 from corpusflow.functions.lists import crop_context, list_parts
+from corpusflow.operators.scan import SCAN_BITS
 from corpusflow.scratch import stored
+from corpusflow.ship import ship_package
 
 # Fixed value: ids are 16 bit, so a context of up to three of them packs into a BIGINT.
 ID_SPAN = 65536
@@ -27,14 +29,22 @@ def pack_context(ids: Column, size: int) -> Column:
     return packed
 
 
+def context_key(ids: Column, size: int) -> Column:
+    """The last ``size`` ids as the ``ctx`` of counts: one number while they fit, else an array."""
+    return pack_context(ids, size) if size < MAX_ORDER else F.slice(ids, -size, size)
+
+
 def _gram_counts(rows: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
     """Partial counts of the n-grams of every row, one Arrow batch at a time.
 
-    An n-gram of 16-bit ids is one 64-bit number, so counting a batch is counting equal
-    numbers; only its distinct n-grams leave the task.
+    An n-gram of up to four 16-bit ids is one 64-bit number, so counting a batch is counting
+    equal numbers; only its distinct n-grams leave the task.  Longer ones are numbered by
+    their first ids, then those numbers and the next two ids again, up to their length.
     """
+    ship_package(rows.sparkSession)
     fields = [rows.schema[name] for name in by]
-    result = T.StructType([*fields, T.StructField("ctx", T.LongType()), T.StructField("id", T.IntegerType()), T.StructField("cnt", T.LongType())])
+    context = T.LongType() if n <= MAX_ORDER else T.ArrayType(T.IntegerType())
+    result = T.StructType([*fields, T.StructField("ctx", context), T.StructField("id", T.IntegerType()), T.StructField("cnt", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -50,7 +60,7 @@ def _gram_counts(rows: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
                 whole[(starts + i)[starts + i < ends]] = False
             plain = values.view(np.uint32)
             grams = plain[: len(values) - n + 1].astype(np.uint64)
-            for i in range(1, n):
+            for i in range(1, min(n, MAX_ORDER)):
                 grams <<= np.uint64(16)
                 grams |= plain[i : len(values) - n + 1 + i]
             whole = whole[n - 1 :]
@@ -65,13 +75,16 @@ def _gram_counts(rows: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
                     mine = np.zeros(len(ends), dtype=bool)
                     mine[members] = True
                     chosen = whole & mine[owner]
-                found, counts = _count_equal(grams[chosen])
+                if n <= MAX_ORDER:
+                    found, counts = _count_equal(grams[chosen])
+                    before, last = pa.array((found >> np.uint64(16)).astype(np.int64)), (found & np.uint64(ID_SPAN - 1)).astype(np.int32)
+                else:
+                    found, counts = _count_long(grams, plain, np.flatnonzero(chosen), n)
+                    windows = np.lib.stride_tricks.sliding_window_view(plain.view(np.int32), n)[found]
+                    ends_ = pa.array(np.arange(0, (len(found) + 1) * (n - 1), n - 1, dtype=np.int32))
+                    before, last = pa.ListArray.from_arrays(ends_, pa.array(np.ascontiguousarray(windows[:, :-1]).reshape(-1))), windows[:, -1]
                 columns = [pa.array([k] * len(found), type=batch.column(i).type) for i, k in enumerate(key)]
-                columns += [
-                    pa.array((found >> np.uint64(16)).astype(np.int64)),
-                    pa.array((found & np.uint64(ID_SPAN - 1)).astype(np.int32)),
-                    pa.array(counts.astype(np.int64)),
-                ]
+                columns += [before, pa.array(last), pa.array(counts.astype(np.int64))]
                 yield pa.record_batch(columns, names=result.fieldNames())
 
     return rows.select(*by, "ids").mapInArrow(run, result)
@@ -86,6 +99,78 @@ def _count_equal(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(numbers, return_counts=True)
 
 
+def _count_long(grams: np.ndarray, plain: np.ndarray, places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """A place of every distinct n-gram that begins at one of ``places``, and how often it occurs."""
+    numbers = grams[places]
+    for i in range(MAX_ORDER, n, 2):
+        numbers = np.unique(numbers, return_inverse=True)[1].astype(np.uint64) << np.uint64(32)
+        numbers |= plain[places + i].astype(np.uint64) << np.uint64(16)
+        if i + 1 < n:
+            numbers |= plain[places + i + 1]
+    _, first, counts = np.unique(numbers, return_index=True, return_counts=True)
+    return places[first], counts
+
+
+def preceding_ids(edges: DataFrame, size: int, order: str = "doc_id", by: Sequence[str] = ("split",), bits: int = SCAN_BITS) -> DataFrame:
+    """Add ``before``: the last ``size`` ids of all rows before this one, from ``edges(by…, order, tail)``.
+
+    ``tail`` holds the last ``size`` ids of a row, all of a shorter one, and is not empty, so
+    the ``size`` rows before suffice.  Rows are joined inside buckets of the order key, and
+    the ends of buckets the same way, as in :func:`corpusflow.operators.scan.exclusive_scan`.
+    """
+    low, high = edges.agg(F.min(order), F.max(order)).first()
+    return _preceding(edges, size, order, tuple(by), bits, low or 0, high or 0)
+
+
+def _preceding(edges: DataFrame, size: int, order: str, by: tuple[str, ...], bits: int, low: int, high: int) -> DataFrame:
+    def inside(keys: Sequence[str]) -> Column:
+        along = Window.partitionBy(*keys).orderBy(order)
+        joined = crop_context(F.flatten(F.collect_list("tail").over(along.rowsBetween(-size, -1))), size)
+        twice = F.lag(order).over(along) == F.col(order)
+        return F.when(twice, F.raise_error(F.lit(f"n-grams: {order} is not unique"))).otherwise(joined)
+
+    if high - low < 1 << bits:
+        return edges.withColumn("before", inside(by))
+    bucket = f"{order}_hi"
+    keys = [*by, bucket]
+    rows = edges.withColumn(bucket, F.shiftright(F.col(order).cast("bigint"), bits)).repartition(*keys).withColumn("before", inside(keys))
+    both = lambda a, b: crop_context(F.concat(a, b), size)
+    ends = rows.groupBy(*keys).agg(F.max_by(both(F.col("before"), F.col("tail")), order).alias("tail"))
+    outer = _preceding(ends, size, bucket, by, bits, low >> bits, high >> bits).select(*keys, F.col("before").alias("_outer"))
+    return rows.join(outer, keys).withColumn("before", both(F.col("_outer"), F.col("before"))).drop("_outer", bucket)
+
+
+def count_ngrams(
+    rows: DataFrame,
+    n: int = 2,
+    by: Sequence[str] = (),
+    order: str = "doc_id",
+    split: str = "split",
+    edges: DataFrame | None = None,
+    bits: int = SCAN_BITS,
+) -> DataFrame:
+    """``(by…, ctx, id, cnt)`` of the documents ``rows(split, order, ids)`` in order, n-grams of any length.
+
+    Ids are counted where they are.  What spans documents comes from a summary of each,
+    its first and last ``n - 1`` ids: joined in order, over short and empty documents, they
+    give the ids before every document.  ``edges(by…, split, order, head, tail)`` may be given
+    where it can be had without encoding whole documents.
+    """
+    if n < 1:
+        raise ValueError("n must be 1 or more")
+    keys = list(dict.fromkeys([*by, split]))
+    counts = _gram_counts(rows.select(*keys, "ids"), n, by)
+    if n > 1:
+        edge = n - 1
+        if edges is None:
+            edges = rows.select(*keys, order, F.slice("ids", 1, edge).alias("head"), crop_context("ids", edge).alias("tail"))
+        held = edges.where(F.size("tail") > 0).select(*keys, order, "head", "tail")
+        carried = preceding_ids(held, edge, order, keys, bits).where(F.size("before") > 0)
+        spanning = carried.select(*keys, F.concat("before", "head").alias("ids")).where(F.size("ids") >= n)
+        counts = counts.unionByName(_gram_counts(spanning, n, by))
+    return counts.groupBy(*by, "ctx", "id").agg(F.sum("cnt").alias("cnt"))
+
+
 def fit_ngram(pages: DataFrame, n: int = 2, by: Sequence[str] = ()) -> DataFrame:
     """``(by…, ctx, id, cnt)``: how often ``id`` follows the ``n - 1`` ids of ``ctx``.
 
@@ -159,9 +244,15 @@ def cumulative_choices(probs: DataFrame) -> DataFrame:
 
 
 def pick(choices: Column, uniform: Column) -> Column:
-    """First id whose cumulative probability exceeds ``uniform``."""
-    above = F.get(F.filter(choices, lambda c: c["upto"] > uniform), F.lit(0))
-    return F.coalesce(above, F.element_at(choices, -1))["id"]
+    """First id whose cumulative probability exceeds ``uniform``, found by bisection."""
+    steps = F.array(*[F.lit(1 << bit) for bit in range(ID_SPAN.bit_length() - 1, -1, -1)])
+
+    def farther(at: Column, step: Column) -> Column:
+        below = (at + step <= F.size(choices)) & (F.get(choices, at + step - 1)["upto"] <= uniform)
+        return F.when(below, at + step).otherwise(at)
+
+    place = F.aggregate(steps, F.lit(0), farther)
+    return F.when(F.size(choices) > 0, F.get(choices, F.least(place, F.size(choices) - 1))["id"])
 
 
 def sample_next(prompts: DataFrame, probs: DataFrame, seed: int, key: str = "key", step: int = 0) -> DataFrame:
@@ -190,8 +281,9 @@ def continue_prompts(
 ) -> DataFrame:
     """Extend ``ids`` of every prompt by up to ``steps`` drawn tokens.
 
-    Each step looks up the last ``n - 1`` ids only.  A prompt ends early at a context the
-    table does not know.  The growing plan is cut every few steps by storing the prompts.
+    The last ``n - 1`` ids and what was drawn travel through the steps, the prompts do not: they
+    take the drawn ids once, at the end.  A prompt ends early at a context the table does
+    not know.  The growing plan is cut every few steps by storing its state.
     With ``samples``, every prompt is continued that many times, each with draws of its
     own, and a column ``sample`` tells them apart.
     """
@@ -202,21 +294,25 @@ def continue_prompts(
     draw = [F.lit(seed), F.col(key)] + ([] if samples is None else [F.col("sample")])
     probs = next_probs(table, temperature) if top_k is None else top_k_probs(table, top_k, temperature)
     choices = stored(cumulative_choices(probs), "choices")
-    rest = [c for c in prompts.columns if c != "ids"]
-    current = prompts.withColumn("_open", F.size("ids") >= n - 1)
+    prompts = stored(prompts.withColumn("_row", F.monotonically_increasing_id()), "prompts")
+    names = ["_row", key] + ([] if samples is None else ["sample"])
+    tail = F.when(F.size("ids") >= n - 1, F.slice("ids", F.size("ids") - (n - 2), F.lit(n - 1)) if n > 1 else F.array().cast("array<int>"))
+    current = prompts.select(*names, tail.alias("_tail"), F.array().cast("array<int>").alias("_drawn"))
     for step in range(steps):
-        context = F.when(F.col("_open"), pack_context(F.col("ids"), n - 1))
         uniform = hash_uniform(*draw, F.lit(step))
-        drawn = current.withColumn("ctx", context).join(choices, "ctx", "left")
-        token = pick(F.col("choices"), uniform)
-        current = drawn.select(
-            *rest,
-            F.when(token.isNull(), F.col("ids")).otherwise(F.concat("ids", F.array(token))).alias("ids"),
-            token.isNotNull().alias("_open"),
+        # a null tail has ended: its context is null and meets nothing
+        context = F.when(F.col("_tail").isNotNull(), context_key(F.col("_tail"), n - 1) if n > 1 else F.lit(0).cast("bigint"))
+        met = current.withColumn("ctx", context).join(choices, "ctx", "left").withColumn("_token", pick(F.col("choices"), uniform))
+        moved = crop_context(F.concat("_tail", F.array("_token")), n - 1) if n > 1 else F.col("_tail")
+        current = met.select(
+            *names,
+            F.when(F.col("_token").isNotNull(), moved).alias("_tail"),
+            F.when(F.col("_token").isNull(), F.col("_drawn")).otherwise(F.concat("_drawn", F.array("_token"))).alias("_drawn"),
         )
         if (step + 1) % store_every == 0 and step + 1 < steps:
-            current = stored(current, "prompts")
-    return current.select(*rest, "ids")
+            current = stored(current, "drawn")
+    longer = prompts.join(current.select("_row", "_drawn"), "_row")
+    return longer.withColumn("ids", F.concat("ids", "_drawn")).select(*[c for c in prompts.columns if c not in ("ids", "_row")], "ids")
 
 
 def cross_entropy(
@@ -240,3 +336,17 @@ def cross_entropy(
     return scored.groupBy(*by).agg(
         (F.sum(-F.ln(p) * F.col("cnt")) / F.sum("cnt")).alias("loss"), F.sum("cnt").alias("targets")
     )
+
+
+def estimate_loss(blocks: DataFrame, table: DataFrame, vocab_size: int, n: int = 2) -> DataFrame:
+    """``(split, iters, loss)``: mean over the iterations of the mean loss of their blocks.
+
+    ``blocks(split, iter, x, y)`` are drawn blocks.  A target is scored with the ``n - 1`` ids
+    before it, all within its block.  Equal targets of an iteration are counted in the tasks
+    and scored once.
+    """
+    ids = F.concat(F.slice("x", 1, 1), "y").alias("ids")
+    pairs = _gram_counts(blocks.select("split", "iter", ids), n, ["split", "iter"])
+    pairs = pairs.groupBy("split", "iter", "ctx", "id").agg(F.sum("cnt").alias("cnt"))
+    losses = cross_entropy(pairs, table, vocab_size, by=("split", "iter"))
+    return losses.groupBy("split").agg(F.count("*").alias("iters"), F.avg("loss").alias("loss"))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from corpusflow.functions.joins import join_null_safe
-from corpusflow.functions.lists import array_count, array_mean, array_total, bin_number
+from corpusflow.functions.lists import array_count, array_histogram, array_mean, array_total, bin_number
 from corpusflow.functions.nested import flatten_struct
 from corpusflow.operators.scan import SCAN_BITS, exclusive_scan
 
@@ -210,9 +210,23 @@ def metrics_long(
     df: DataFrame,
     groups: dict[str, Sequence[str]],
     keys: Sequence[str] = ("run_id", "iter"),
+    bins: int = 64,
 ) -> DataFrame:
-    """``(keys…, grp, key, value)``: one row per metric, grouped as Training, Timing, Loss…"""
-    named = {f"{grp}/{name}": F.col(name).cast("double") for grp, names in groups.items() for name in names}
+    """``(keys…, grp, key, value)``: one row per metric, grouped as Training, Timing, Loss…
+
+    An array metric ``a`` is a histogram: its range as ``a/low`` and ``a/high``, and the counts of
+    its ``bins`` equal bins as ``a/0``, ``a/1``…; all are NULL for an array without numbers.
+    """
+    named = {}
+    for grp, names in groups.items():
+        for name in names:
+            if isinstance(df.schema[name].dataType, T.ArrayType):
+                made = f"_{name}_bins"
+                df = df.withColumn(made, array_histogram(name, bins))
+                named |= {f"{grp}/{name}/{end}": F.col(f"{made}.{end}") for end in ("low", "high")}
+                named |= {f"{grp}/{name}/{b}": F.col(f"{made}.counts")[b].cast("double") for b in range(bins)}
+            else:
+                named[f"{grp}/{name}"] = F.col(name).cast("double")
     wide = df.select(*keys, *[c.alias(n) for n, c in named.items()])
     long = wide.unpivot([F.col(k) for k in keys], [F.col(f"`{n}`") for n in named], "name", "value")
     parts = F.split("name", "/", 2)

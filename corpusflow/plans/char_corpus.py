@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from corpusflow.functions.chars import collect_vocab
+from corpusflow.functions.chars import collect_vocab, encode_column
 from corpusflow.operators.encode import CharEncoder
+from corpusflow.operators.ngram import count_ngrams
 from corpusflow.operators.pages import cut_pages, in_order, token_offsets
 from corpusflow.operators.splits import split_contiguous
 from corpusflow.operators.vocab import build_vocab
@@ -40,3 +41,15 @@ def char_pages(docs: DataFrame, page_size: int = 1024, encoder: CharEncoder | No
     encoder = encoder or char_encoder(docs)
     offsets = token_offsets(docs, length=F.length("text"), split=split)
     return cut_pages(encoder.encode(in_order(docs.select(split, "doc_id", "text"), offsets, split=split)), page_size, split)
+
+
+def char_ngrams(docs: DataFrame, encoder: CharEncoder, n: int = 2, by: tuple[str, ...] = (), split: str = "split") -> DataFrame:
+    """N-gram counts of ``(split, doc_id, text)`` in order, without pages.
+
+    The summaries of the documents come from the ends of their texts.
+    """
+    ends = docs.where(F.length("text") > 0)
+    coded = lambda cut: encode_column(cut, encoder.vocab, encoder.oov, encoder.unk)
+    edges = ends.select(split, "doc_id", coded(F.expr(f"left(text, {n - 1})")).alias("head"), coded(F.expr(f"right(text, {n - 1})")).alias("tail"))
+    rows = encoder.encode(spread(docs.select(split, "doc_id", "text"), "doc_id"))
+    return count_ngrams(rows, n, by, split=split, edges=edges if n > 1 else None)

@@ -9,15 +9,15 @@ from corpusflow.functions.completions import split_completion as add_completion_
 from corpusflow.functions.lists import crop_context as crop, shift_pairs as shifted
 from corpusflow.functions.chars import collect_vocab
 from corpusflow.operators import encode, pages as page_ops, rows, splits, vocab as vocab_ops
-from corpusflow.operators.sampling import sample_blocks as draw_blocks, split_sizes
+from corpusflow.operators.sampling import sample_documents
 from corpusflow.plans.char_corpus import char_encoder, char_pages, char_totals
 from corpusflow.plans.registry import query
-from corpusflow.scratch import scratch_path, stored
+from corpusflow.scratch import scratch_path
 from corpusflow.sinks.tables import append_registry, write_vocab
 from corpusflow.sources.dataset import read_dataset, read_encoder, read_vocab
-from corpusflow.sources.tables import read_documents, read_table, spread_documents
-from corpusflow.sources.text import read_text_corpus, sum_first_field
-from corpusflow.sources.tokenfile import read_token_files, write_token_files
+from corpusflow.sources.tables import read_documents, read_table, spread, spread_documents
+from corpusflow.sources.text import read_text_corpus, read_text_lines, sum_first_field
+from corpusflow.sources.tokenfile import read_token_files, sample_token_files, write_token_files
 
 # Shared pieces of the SQL.  DuckDB splits text by code points, as Spark does.
 VOCAB = """
@@ -80,6 +80,20 @@ def text_corpus(spark: SparkSession, folder: str) -> DataFrame:
     return files.groupBy(lang.alias("lang")).agg(F.sum(chars.char_len("text")).alias("chars"))
 
 
+@query("""
+    SELECT lang, CAST(sum(length(regexp_replace(text, '\\r\\n?', chr(10), 'g')) + 1) AS BIGINT) AS chars,
+           CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS lines
+    FROM documents GROUP BY lang
+""")
+def text_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same files read line by line in ranges, as files of any size are."""
+    path = scratch_path(spark, "text")
+    read_table(spark, folder, "documents").select("lang", "text").write.partitionBy("lang").text(path)
+    lines = read_text_lines(spark, f"{path}/lang=*")
+    lang = F.regexp_extract("path", "/lang=([^/]+)/", 1)
+    return lines.groupBy(lang.alias("lang")).agg(F.sum(chars.char_len("text")).alias("chars"), F.count("*").alias("lines"))
+
+
 @query("""
     SELECT event_type AS name, round(sum(value), 4) AS total FROM events GROUP BY event_type
 """)
@@ -318,30 +332,28 @@ def char_corpus(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-    SELECT split, CAST(sum(strlen(text) + 1) AS BIGINT) AS tokens FROM (
+    SELECT split, CAST(sum(length(text)) AS BIGINT) AS tokens FROM (
         SELECT CASE WHEN CAST('0x' || left(md5('2357:' || doc_id), 15) AS BIGINT) / 1152921504606846976.0::DOUBLE < 0.1
                THEN 'val' ELSE 'train' END AS split, text FROM documents
     ) GROUP BY split
 """)
 def token_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Random split, subword encoding with end of text, tokens per split."""
-    parted = splits.split_random(spread_documents(spark, folder), 0.1)
-    return page_ops.token_totals(subword.encode_subword(parted, subword.byte_ranks()))
+    """Random split, tokens per split: a character is a token, so lengths say it all."""
+    return page_ops.token_totals(splits.split_random(read_documents(spark, folder), 0.1), F.length("text"))
 
 
 @query("""
-    SELECT 'train' AS split, CAST(sum(strlen(text) + 1) AS BIGINT) AS tokens,
-           round(sum(strlen(text) + 1) / 491520.0::DOUBLE, 6) AS iters
-    FROM documents
+    SELECT lang AS split, CAST(sum(length(text)) AS BIGINT) AS tokens, round(sum(length(text)) / 491520.0::DOUBLE, 6) AS iters
+    FROM documents GROUP BY lang
 """)
 def epoch_iters(spark: SparkSession, folder: str) -> DataFrame:
-    """How many iterations of 491,520 tokens read the subword corpus once."""
+    """How many iterations of 491,520 tokens read the characters of every language once."""
     from corpusflow.functions.metrics import BatchShape
     from corpusflow.operators.runlog import epoch_iters as with_iters
 
-    coded = subword.encode_subword(_one_split(spread_documents(spark, folder)), subword.byte_ranks())
+    docs = read_documents(spark, folder, "lang").withColumnRenamed("lang", "split")
     shape = BatchShape(gas=5, world=8, batch=12, block=1024)
-    return with_iters(page_ops.token_totals(coded), shape.tokens_per_iter).withColumn("iters", F.round("iters", 6))
+    return with_iters(page_ops.token_totals(docs, F.length("text")), shape.tokens_per_iter).withColumn("iters", F.round("iters", 6))
 
 
 @query("""
@@ -374,7 +386,7 @@ def token_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-    WITH ends AS (SELECT CAST(sum(strlen(text) + 1) OVER (ORDER BY doc_id) - 1 AS BIGINT) AS gpos FROM documents),
+    WITH ends AS (SELECT CAST(sum(length(text) + 1) OVER (ORDER BY doc_id) - 1 AS BIGINT) AS gpos FROM documents),
     total AS (SELECT max(gpos) + 1 AS n FROM ends),
     pages AS (SELECT unnest(range(0, (n + 1023) // 1024)) AS page, n FROM total),
     counted AS (SELECT gpos // 1024 AS page, count(*) AS ends FROM ends GROUP BY gpos // 1024)
@@ -382,11 +394,14 @@ def token_pages(spark: SparkSession, folder: str) -> DataFrame:
     FROM pages LEFT JOIN counted USING (page)
 """)
 def subword_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages of the byte encoding with an end-of-text id after every document."""
-    coded = subword.encode_subword(_one_split(spread_documents(spark, folder)), subword.byte_ranks())
-    # offsets need the lengths that only the encoder knows, so it runs once into a table
-    pages = page_ops.token_pages(stored(coded, "coded"))
-    ends = F.size(F.filter("ids", lambda i: i == 256))
+    """Pages of documents that end with a marker of their own, as subword corpora do."""
+    docs = read_documents(spark, folder)
+    encoder = char_encoder(docs)
+    marked = encoder.encode(spread(_one_split(docs), "doc_id")).withColumn("ids", F.concat("ids", F.array(F.lit(encoder.size))))
+    # a character more than the text has: the offsets never touch the encoder
+    offsets = page_ops.token_offsets(_one_split(docs), length=F.length("text") + 1)
+    pages = page_ops.cut_pages(page_ops.in_order(marked.select("split", "doc_id", "ids"), offsets), 1024)
+    ends = F.size(F.filter("ids", lambda i: i == encoder.size))
     return pages.select("split", "page", F.size("ids").alias("size"), ends.alias("ends"))
 
 
@@ -454,12 +469,48 @@ def sample_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """16 batches of 12 blocks of 256 characters from every language, as text."""
     docs = read_documents(spark, folder, "lang").withColumnRenamed("lang", "split")
     encoder = char_encoder(docs)
-    known = encoder.vocab
-    sizes = split_sizes(docs, F.length("text"))
-    pages = char_pages(docs, encoder=encoder)
-    blocks = draw_blocks(pages, iters=16, batch=12, block=256, sizes=sizes)
+    return _as_text(sample_documents(docs, encoder.encode, iters=16, batch=12, block=256), encoder.vocab)
+
+
+def _as_text(blocks: DataFrame, known: dict[str, int]) -> DataFrame:
     return blocks.select(
         "split", "iter", "row", "start",
         F.md5(chars.decode_column("x", known)).alias("x_digest"),
         F.md5(chars.decode_column("y", known)).alias("y_digest"),
     )
+
+
+_STORE = f"""
+    WITH {STARTS},
+    corpus AS (SELECT split, string_agg(part, '' ORDER BY doc_id) AS text, CAST(sum(length(part)) AS BIGINT) AS n FROM parts GROUP BY split)"""
+
+
+@query(_STORE + """
+    SELECT split, page, CAST(least(1024, n - page * 1024) AS INTEGER) AS size, md5(substr(text, page * 1024 + 1, 1024)) AS digest
+    FROM (SELECT split, n, text, unnest(range(0, (n + 1023) // 1024)) AS page FROM corpus)
+""")
+def two_split_store(spark: SparkSession, folder: str) -> DataFrame:
+    """The 90/10 cut written as token files of both splits and read back, pages as text."""
+    docs, path = read_documents(spark, folder), scratch_path(spark, "tokens")
+    encoder = char_encoder(docs)
+    write_token_files(char_pages(splits.split_contiguous(docs, 0.9), encoder=encoder), path, in_stretches=True)
+    back = read_token_files(spark, path)
+    return back.select("split", "page", F.size("ids").alias("size"), F.md5(chars.decode_column("ids", encoder.vocab)).alias("digest"))
+
+
+@query(_STORE + """,
+    draws AS (
+        SELECT split, iter, row,
+               CAST('0x' || left(md5('1337:' || split || ':' || iter || ':' || row), 15) AS BIGINT) % CAST(n - 64 AS BIGINT) AS start
+        FROM corpus, (SELECT unnest(range(20)) AS iter), (SELECT unnest(range(12)) AS row)
+    )
+    SELECT split, CAST(iter AS INTEGER) AS iter, CAST(row AS INTEGER) AS row, start,
+           md5(substr(text, start + 1, 64)) AS x_digest, md5(substr(text, start + 2, 64)) AS y_digest
+    FROM draws JOIN corpus USING (split)
+""")
+def sample_stored_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """20 batches of 12 blocks of 64 characters, read at their places in the token files of two splits."""
+    docs, path = read_documents(spark, folder), scratch_path(spark, "tokens")
+    encoder = char_encoder(docs)
+    write_token_files(char_pages(splits.split_contiguous(docs, 0.9), encoder=encoder), path, in_stretches=True)
+    return _as_text(sample_token_files(spark, path, iters=20, batch=12, block=64), encoder.vocab)

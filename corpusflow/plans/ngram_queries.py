@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusflow.functions import chars
 from corpusflow.operators import ngram
 from corpusflow.operators.encode import CharEncoder
-from corpusflow.plans.char_corpus import char_encoder, char_pages
-from corpusflow.plans.corpus_queries import LONG, STREAM, VOCAB
+from corpusflow.operators.sampling import sample_documents
+from corpusflow.operators.splits import split_contiguous
+from corpusflow.plans.char_corpus import char_encoder, char_ngrams
+from corpusflow.plans.corpus_queries import LONG, STARTS, STREAM, VOCAB
 from corpusflow.plans.registry import query
 from corpusflow.scratch import stored
 from corpusflow.sources.tables import read_documents, read_table
@@ -24,8 +26,7 @@ def _corpus(spark: SparkSession, folder: str, n: int = 2) -> tuple[DataFrame, Ch
     """N-gram counts of all documents in order, and the encoder; unknown characters get an id of their own."""
     docs = read_documents(spark, folder)
     encoder = char_encoder(docs)
-    pages = char_pages(docs.withColumn("split", F.lit("train")), encoder=encoder)
-    return ngram.fit_ngram(pages, n), CharEncoder(encoder.vocab, "unk", encoder.size)
+    return char_ngrams(docs.withColumn("split", F.lit("train")), encoder, n), CharEncoder(encoder.vocab, "unk", encoder.size)
 
 
 def _prompts(spark: SparkSession, folder: str, encoder: CharEncoder) -> DataFrame:
@@ -48,6 +49,19 @@ def trigram_counts(spark: SparkSession, folder: str) -> DataFrame:
     return _corpus(spark, folder, 3)[0]
 
 
+@query(f"""
+    WITH {VOCAB}, {LONG}, {STREAM},
+    grams AS (
+        SELECT lag(id, 5) OVER w AS first, concat_ws(' ', lag(id, 5) OVER w, lag(id, 4) OVER w, lag(id, 3) OVER w, lag(id, 2) OVER w, lag(id) OVER w) AS ctx, id
+        FROM stream WINDOW w AS (ORDER BY gpos)
+    )
+    SELECT ctx, CAST(id AS INTEGER) AS id, count(*) AS cnt FROM grams WHERE first IS NOT NULL GROUP BY ALL
+""")
+def sixgram_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Six characters each, contexts as text."""
+    return _corpus(spark, folder, 6)[0].select(F.array_join(F.col("ctx").cast("array<string>"), " ").alias("ctx"), "id", "cnt")
+
+
 @query(f"""
     WITH {BIGRAMS}, w AS (SELECT *, pow(cnt, 1 / 0.8::DOUBLE) AS weight FROM counts)
     SELECT ctx, id, cnt, round(weight / sum(weight) OVER (PARTITION BY ctx), 6) AS p FROM w
@@ -119,7 +133,7 @@ def cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     both = docs.unionByName(items)
     encoder = char_encoder(both)
     # read twice, and small beside the corpus
-    counts = stored(ngram.fit_ngram(char_pages(both, encoder=encoder), by=["split"]), "counts")
+    counts = stored(char_ngrams(both, encoder, by=("split",)), "counts")
     model = counts.where("split = 'train'").drop("split")
     scored = ngram.cross_entropy(counts, model, encoder.size)
     return scored.select("split", "targets", F.round("loss", 6).alias("loss"))
@@ -183,3 +197,36 @@ def continue_samples(spark: SparkSession, folder: str) -> DataFrame:
     prompts = _prompts(spark, folder, encoder)
     longer = ngram.continue_prompts(prompts.select("key", "ids"), table, steps=8, top_k=3, temperature=1.0, seed=5, samples=3)
     return longer.select("key", "sample", F.md5(chars.decode_column("ids", marked)).alias("digest"))
+
+
+@query(f"""
+    WITH {VOCAB}, {STARTS},
+    corpus AS (SELECT split, string_agg(part, '' ORDER BY doc_id) AS text, sum(length(part)) AS n FROM parts GROUP BY split),
+    letters AS (
+        SELECT unnest(string_split(text, '')) AS ch, unnest(range(length(text))) AS pos FROM corpus WHERE split = 'train'
+    ),
+    follows AS (SELECT ch, lead(ch) OVER (ORDER BY pos) AS nxt FROM letters),
+    model AS (SELECT ch, nxt, count(*) AS seen FROM follows WHERE nxt IS NOT NULL GROUP BY ALL),
+    totals AS (SELECT ch, sum(seen) AS total FROM model GROUP BY ch),
+    draws AS (
+        SELECT split, iter, row,
+               CAST('0x' || left(md5('42:' || split || ':' || iter || ':' || row), 15) AS BIGINT) % CAST(n - 128 AS BIGINT) AS start
+        FROM corpus, (SELECT unnest(range(10)) AS iter), (SELECT unnest(range(12)) AS row)
+    ),
+    blocks AS (SELECT split, iter, row, string_split(substr(text, start + 1, 129), '') AS b FROM draws JOIN corpus USING (split)),
+    pairs AS (SELECT split, iter, unnest(b[:128]) AS ch, unnest(b[2:]) AS nxt FROM blocks),
+    losses AS (
+        SELECT split, iter, avg(-ln((coalesce(seen, 0) + 1.0::DOUBLE) / (coalesce(total, 0) + (SELECT count(*) FROM vocab)))) AS loss
+        FROM pairs LEFT JOIN model USING (ch, nxt) LEFT JOIN totals USING (ch) GROUP BY split, iter
+    )
+    SELECT split, count(*) AS iters, round(avg(loss), 6) AS loss FROM losses GROUP BY split
+""")
+def estimate_loss(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss of the train split's bigrams on 10 batches of 12 drawn blocks of either split."""
+    docs = read_documents(spark, folder)
+    encoder = char_encoder(docs)
+    cut = stored(split_contiguous(docs, 0.9), "cut")
+    table = stored(char_ngrams(cut.where("split = 'train'"), encoder), "counts")
+    blocks = sample_documents(cut, encoder.encode, iters=10, batch=12, block=128, seed=42)
+    found = ngram.estimate_loss(blocks, table, encoder.size)
+    return found.select("split", "iters", F.round("loss", 6).alias("loss"))

@@ -80,6 +80,20 @@ def flatten_events(spark: SparkSession, folder: str) -> DataFrame:
     return nested.flatten_struct(events.select("event_id", nest, "value"))
 
 
+@query("""
+    SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS "props/k",
+           CASE WHEN event_type = 'click' THEN value END AS "of/click", CASE WHEN event_type = 'error' THEN value END AS "of/error",
+           CASE WHEN event_type = 'purchase' THEN value END AS "of/purchase", CASE WHEN event_type = 'signup' THEN value END AS "of/signup",
+           CASE WHEN event_type = 'view' THEN value END AS "of/view"
+    FROM events
+""")
+def flatten_event_maps(spark: SparkSession, folder: str) -> DataFrame:
+    """MAP columns, whose keys differ from row to row, as plain columns."""
+    events = read_table(spark, folder, "events")
+    props = F.from_json("props", "map<string, double>").alias("props")
+    return nested.flatten_maps(events.select("event_id", props, F.create_map("event_type", "value").alias("of")))
+
+
 @query("SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props FROM events")
 def rows_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Rows to JSON text and back."""
@@ -167,15 +181,16 @@ def ema_loss(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
     WITH {LOG}, used AS (
-        SELECT run_id, iter, (6.0 * 123653376 + 12.0 * 12 * 12 * 64 * 1024) * 1024 * 60 / dt / 312e12 AS mfu
-        FROM timed WHERE iter % 5 = 0 AND dt > 0
-    )
-    SELECT run_id, iter, {_EMA.format('100 * mfu')} AS mfu FROM used
+        SELECT run_id, iter, (6.0 * 123653376 + 12.0 * 12 * 12 * 64 * 1024) * 1024 * 60 / nullif(dt, 0) / 312e12 AS mfu
+        FROM timed WHERE iter % 5 = 0
+    ),
+    averaged AS (SELECT run_id, iter, {_EMA.format('100 * mfu')} AS mfu FROM used WHERE mfu IS NOT NULL)
+    SELECT run_id, iter, averaged.mfu FROM used LEFT JOIN averaged USING (run_id, iter)
 """)
 def running_mfu(spark: SparkSession, folder: str) -> DataFrame:
-    """Moving average of the utilisation over logged steps only, in per cent."""
+    """Moving average of the utilisation over logged steps, in per cent; steps without a time have none."""
     shape = metrics.ModelShape(vocab_size=50257, bias=True)
-    logged = runlog.every_n(runlog.step_dt(run_log(spark, folder)), 5).where("dt > 0")
+    logged = runlog.every_n(runlog.step_dt(run_log(spark, folder)), 5)
     shares = logged.select("run_id", "iter", (100 * metrics.mfu("dt", shape, passes=60)).alias("share"))
     return runlog.ema(shares, "share", out="mfu").select("run_id", "iter", F.round("mfu", 6).alias("mfu"))
 
@@ -285,6 +300,31 @@ def array_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("run_id", "iter", "h.low", "h.high", counts.alias("counts"))
 
 
+@query(STEPS + """
+    , bins AS (
+        SELECT run_id, iter, dt, list_min(dt) AS lo, list_max(dt) AS hi FROM steps
+    ),
+    placed AS (
+        SELECT run_id, iter, lo, hi, unnest(dt) AS v FROM bins
+    ),
+    counted AS (
+        SELECT run_id, iter, CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS low, CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS high,
+               count(*) FILTER (WHERE lo < hi AND v < lo + (hi - lo) / 2) AS below, count(*) AS n
+        FROM placed GROUP BY ALL
+    )
+    SELECT run_id, iter, 'Timing' AS grp, 'dt/low' AS key, round(low, 6) AS value FROM counted
+    UNION ALL SELECT run_id, iter, 'Timing', 'dt/high', round(high, 6) FROM counted
+    UNION ALL SELECT run_id, iter, 'Timing', 'dt/0', CAST(below AS DOUBLE) FROM counted
+    UNION ALL SELECT run_id, iter, 'Timing', 'dt/1', CAST(n - below AS DOUBLE) FROM counted
+    UNION ALL SELECT run_id, iter, 'Loss', 'first', round(dt[1], 6) FROM steps
+""")
+def metrics_long_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """An array metric in long form: its range and the counts of two bins, beside a plain one."""
+    steps = micro_steps(spark, folder).withColumn("first", F.col("dt")[0])
+    long = runlog.metrics_long(steps, {"Timing": ["dt"], "Loss": ["first"]}, bins=2)
+    return long.withColumn("value", F.round("value", 6))
+
+
 @query(f"""
     WITH {LOG}, wide AS (SELECT run_id, iter, loss, 5 * loss AS loss_tot, round(dt, 6) AS dt FROM timed)
     SELECT run_id, iter, 'Training' AS grp, 'loss' AS key, loss AS value FROM wide

@@ -19,6 +19,7 @@ import json
 import os
 import posixpath
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from pathlib import PurePosixPath
@@ -33,12 +34,17 @@ from pyspark.sql.datasource import (
     DataSourceReader,
     EqualTo,
     Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
     In,
     InputPartition,
+    LessThan,
+    LessThanOrEqual,
     WriterCommitMessage,
 )
 
 from corpusflow.functions.lists import list_parts
+from corpusflow.ship import ship_package
 
 # Fixed values of the format: unsigned 16-bit ids, little endian, no header.
 ID_TYPE = np.dtype("<u2")
@@ -49,6 +55,8 @@ MANIFEST = "manifest.json"
 # Pages handed to Spark at a time, and tokens read by one task.
 BATCH_PAGES = 1024
 TASK_TOKENS = 16 * 1024 * 1024
+# Stretches far apart that one task reads at most: each costs a seek.
+TASK_RUNS = 64
 # Pages of one written file, by default 128 MiB.
 FILE_PAGES = 65536
 
@@ -112,6 +120,7 @@ class TokenFileReader(DataSourceReader):
         self.path, self.page_size = path, page_size
         self.task_tokens = max(task_tokens // page_size, 1) * page_size
         self.kept: dict[str, set | None] = {"split": None, "page": None}
+        self.low, self.high = 0, None  # pages from low on, below high
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
@@ -120,13 +129,23 @@ class TokenFileReader(DataSourceReader):
                 before = self.kept[name]
                 self.kept[name] = values if before is None else before & values
             else:
-                yield f
+                if getattr(f, "attribute", None) == ("page",) and isinstance(getattr(f, "value", None), int):
+                    self._bound(f)
+                yield f  # Spark filters the pages of the outermost stretches itself
+
+    def _bound(self, f: Filter) -> None:
+        if isinstance(f, (GreaterThan, GreaterThanOrEqual)):
+            self.low = max(self.low, f.value + isinstance(f, GreaterThan))
+        elif isinstance(f, (LessThan, LessThanOrEqual)):
+            end = f.value + isinstance(f, LessThanOrEqual)
+            self.high = end if self.high is None else min(self.high, end)
 
     def _stretches(self, tokens: int) -> Iterator[tuple[int, int]]:
         """Token ranges of a split for one task each: everything, or the wanted pages."""
         if self.kept["page"] is None:
-            for low in range(0, tokens, self.task_tokens):
-                yield low, min(low + self.task_tokens, tokens)
+            last = tokens if self.high is None else min(tokens, max(self.high, 0) * self.page_size)
+            for low in range(self.low * self.page_size, last, self.task_tokens):
+                yield low, min(low + self.task_tokens, last)
             return
         wanted = sorted(p for p in self.kept["page"] if p is not None and 0 <= p * self.page_size < tokens)
         for i, page in enumerate(wanted):
@@ -158,12 +177,12 @@ class TokenFileReader(DataSourceReader):
         return self._tasks(runs)
 
     def _tasks(self, runs: list[PageRun]) -> list[InputPartition]:
-        """Single pages far apart share a task, up to the size of a task."""
+        """Single pages far apart share a task, up to the size of a task and so many seeks."""
         tasks: list[InputPartition] = []
         held, size = [], 0
         for run in runs:
             tokens = sum(count for _, _, count in run.pieces)
-            if held and size + tokens > self.task_tokens:
+            if held and (size + tokens > self.task_tokens or len(held) == TASK_RUNS):
                 tasks.append(TokenRange(held))
                 held, size = [], 0
             held.append(run)
@@ -374,8 +393,8 @@ class TokenFiles(DataSource):
 def read_token_files(spark: SparkSession, path: str, page_size: int = 1024, task_tokens: int = TASK_TOKENS) -> DataFrame:
     """``(split, page, ids)`` from a folder of token files.
 
-    A filter on ``split`` skips the other files, one on ``page`` (``=`` or ``isin``) reads
-    these pages only.
+    A filter on ``split`` skips the other files, one on ``page`` (``=``, ``isin`` or a range)
+    reads these pages only.
     """
     spark.dataSource.register(TokenFiles)
     # filters reach Python sources only where the session allows it
@@ -385,6 +404,46 @@ def read_token_files(spark: SparkSession, path: str, page_size: int = 1024, task
     )
 
 
+def sample_token_files(spark: SparkSession, path: str, iters: int, batch: int, block: int, seed: int = 1337, tasks: int | None = None) -> DataFrame:
+    """``(split, iter, row, start, x, y)``: the blocks of ``sample_blocks``, read at the drawn places of token files.
+
+    The draws are dealt to tasks in order of place, each reads ``block + 1`` ids: no page is
+    read whole and nothing is exchanged but the draws.  The list of files comes from the
+    manifest or the folder, one short entry each.
+    """
+    from corpusflow.operators.sampling import draw_starts
+
+    ship_package(spark)
+    extents = sorted(_extents(path), key=lambda e: (e.split, e.start))
+    totals = {e.split: e.start + e.count for e in extents}
+    sizes = spark.createDataFrame(sorted(totals.items()), "split string, n bigint")
+    draws = draw_starts(sizes, iters, batch, block, seed)
+    draws = draws.repartitionByRange(tasks or 2 * spark.sparkContext.defaultParallelism, "split", "start").sortWithinPartitions("split", "start")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, _ = _filesystem(path)
+        places = {split: [e for e in extents if e.split == split] for split in totals}
+        starts = {split: [e.start for e in held] for split, held in places.items()}
+        name, file = None, None
+        for part in batches:
+            ids = np.empty((part.num_rows, block + 1), ID_TYPE)
+            for i, (split, start) in enumerate(zip(part.column(0).to_pylist(), part.column(3).to_pylist(), strict=True)):
+                at, k = 0, bisect_right(starts[split], start) - 1
+                while at <= block:
+                    e = places[split][k]
+                    if e.file != name:
+                        name, file = e.file, fs.open_input_file(e.file)
+                    take = min(block + 1 - at, e.start + e.count - start - at)
+                    raw = file.read_at(take * ID_TYPE.itemsize, (start + at - e.start) * ID_TYPE.itemsize)
+                    ids[i, at : at + take] = np.frombuffer(raw, ID_TYPE)
+                    at, k = at + take, k + 1
+            ends = pa.array(np.arange(0, (part.num_rows + 1) * block, block, dtype=np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(ids[:, cut].reshape(-1).astype(np.int32))) for cut in (slice(0, block), slice(1, block + 1))]
+            yield pa.record_batch([*part.columns, *lists], names=["split", "iter", "row", "start", "x", "y"])
+
+    return draws.mapInArrow(work, "split string, iter int, row int, start bigint, x array<int>, y array<int>")
+
+
 def pages_per_file(tokens: int, page_size: int, tasks: int) -> int:
     """Consecutive pages for one task, so that small stores still use ``tasks`` tasks."""
     return max(1, min(FILE_PAGES, -(-tokens // page_size // tasks)))

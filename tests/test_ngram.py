@@ -136,3 +136,60 @@ def test_cross_entropy_by_hand(spark, table):
 def test_crop_context(spark):
     df = spark.createDataFrame([([1, 2, 3],), ([1],), ([],)], "ids array<int>")
     assert [r[0] for r in df.select(crop_context("ids", 2)).collect()] == [[2, 3], [1], []]
+
+
+def test_bisection_finds_the_first_choice_above(spark):
+    sums = [0.1, 0.1, 0.25, 0.5, 0.5, 0.9, 1.0 - 1e-12]
+    rows = [(u / 40, [(i, s) for i, s in enumerate(sums)]) for u in range(40)] + [(0.5, [(7, 0.2)]), (0.1, [])]
+    frame = spark.createDataFrame(rows, "u double, choices array<struct<id:int,upto:double>>")
+    for row in frame.withColumn("id", ngram.pick(F.col("choices"), F.col("u"))).collect():
+        above = [c.id for c in row.choices if c.upto > row.u]
+        assert row.id == (above[0] if above else row.choices[-1].id if row.choices else None)
+
+
+def tuples(stream, n):
+    return Counter((tuple(stream[i : i + n - 1]), stream[i + n - 1]) for i in range(len(stream) - n + 1))
+
+
+def unpacked(ctx, n):
+    return tuple(ctx) if isinstance(ctx, list) else tuple(ctx >> 16 * i & 0xFFFF for i in range(n - 2, -1, -1))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 9])
+@pytest.mark.parametrize("bits", [2, 16])
+def test_counts_over_short_and_empty_documents(spark, n, bits):
+    draw = random.Random(n)
+    docs = {split: [[draw.choice([0, 1, 1, 2, 65535]) for _ in range(draw.choice([0, 0, 1, 1, 2, 3, 5, 30]))] for _ in range(40)] for split in ("train", "val")}
+    rows = [(split, 3 * i - 50, ids) for split, lists in docs.items() for i, ids in enumerate(lists)]
+    frame = spark.createDataFrame(rows, "split string, doc_id bigint, ids array<int>").repartition(3)
+    found = ngram.count_ngrams(frame, n, by=["split"], bits=bits).collect()
+    for split, lists in docs.items():
+        got = {(unpacked(r.ctx, n), r.id): r.cnt for r in found if r.split == split}
+        assert got == tuples([i for ids in lists for i in ids], n)
+
+
+def test_documents_need_numbers_of_their_own(spark):
+    frame = spark.createDataFrame([("train", 1, [1, 2]), ("train", 1, [3])], "split string, doc_id bigint, ids array<int>")
+    with pytest.raises(Exception, match="not unique"):
+        ngram.count_ngrams(frame, 2).collect()
+    assert ngram.count_ngrams(frame.where("false"), 6).count() == 0
+
+
+def test_longer_contexts_continue(spark):
+    stream = [1, 2, 3, 4, 5, 6] * 20
+    frame = spark.createDataFrame([("train", 0, stream)], "split string, doc_id bigint, ids array<int>")
+    table = ngram.count_ngrams(frame, 6)
+    prompts = spark.createDataFrame([("a", [9, 9, 1, 2, 3, 4, 5]), ("b", [1, 2]), ("b", [2, 3, 4, 5, 6])], "key string, ids array<int>")
+    longer = sorted(r.ids for r in ngram.continue_prompts(prompts, table, steps=4, n=6, store_every=3).collect())
+    assert longer == [[1, 2], [2, 3, 4, 5, 6, 1, 2, 3, 4], [9, 9, 1, 2, 3, 4, 5, 6, 1, 2, 3]]
+
+
+def test_estimated_loss_is_the_mean_of_batch_means(spark):
+    table = spark.createDataFrame([(0, 1, 3), (1, 0, 1)], "ctx bigint, id int, cnt bigint")
+    blocks = [("val", 0, [0, 1], [1, 0]), ("val", 0, [0, 0], [0, 1]), ("val", 1, [5, 1], [1, 0]), ("train", 0, [0], [1])]
+    frame = spark.createDataFrame(blocks, "split string, iter int, x array<int>, y array<int>")
+    got = {r.split: (r.iters, r.loss) for r in ngram.estimate_loss(frame, table, 4).collect()}
+    p = {(0, 1): 4 / 7, (1, 0): 2 / 5, (0, 0): 1 / 7, (5, 1): 1 / 4}
+    first = [p[0, 1], p[1, 0], p[0, 0], p[0, 1]]
+    batches = [-sum(map(math.log, first)) / 4, -(math.log(p[5, 1]) + math.log(p[1, 0])) / 2]
+    assert got["val"] == (2, pytest.approx(sum(batches) / 2)) and got["train"] == (1, pytest.approx(-math.log(4 / 7)))

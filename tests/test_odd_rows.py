@@ -10,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.functions.lists import array_histogram, array_mean, array_total
+from corpusflow.functions.nested import flatten_maps
 from corpusflow.operators.ngram import fit_ngram
-from corpusflow.operators.runlog import adjust_log_interval, average_metrics, ema, ema_segment, histogram, timer_totals
+from corpusflow.operators.runlog import adjust_log_interval, average_metrics, ema, ema_segment, histogram, metrics_long, timer_totals
 from corpusflow.operators.scan import number_rows
 from corpusflow.operators.splits import split_contiguous
 from corpusflow.ship import ship_package
@@ -128,3 +129,27 @@ def test_scratch_is_cleared(spark):
     kept = stored(spark.range(3), "few").inputFiles()[0].rsplit("/", 1)[0]
     assert path_exists(spark, kept) and clear_scratch(spark) > 0
     assert not path_exists(spark, kept) and clear_scratch(spark) == 0
+
+
+def test_maps_become_columns(spark):
+    rows = [(1, {"a": 1, "b c": None}, {"k": {"z": 2.0}}), (2, None, {}), (3, {}, {"k": None, "l/m": {"z": 5.0}})]
+    frame = spark.createDataFrame(rows, "id int, m map<string,int>, n map<string,map<string,double>>")
+    flat = flatten_maps(frame.select("id", F.struct("m").alias("s"), "n"))
+    assert flat.columns == ["id", "s/m/a", "s/m/b c", "n/k/z", "n/l/m/z"]
+    assert sorted(map(tuple, flat.collect())) == [(1, 1, None, 2.0, None), (2, None, None, None, None), (3, None, None, None, 5.0)]
+    numbered = spark.createDataFrame([(1, {7: "x", 8: "y"})], "id int, m map<int,string>")
+    assert flatten_maps(numbered).first().asDict() == {"id": 1, "m/7": "x", "m/8": "y"}
+    with pytest.raises(ValueError, match="more than 1 keys"):
+        flatten_maps(numbered, most=1)
+    with pytest.raises(ValueError, match="twice"):
+        flatten_maps(numbered.withColumn("m/7", F.lit(1)))
+    assert flatten_maps(frame.where("false")).columns == ["id"]
+
+
+def test_array_metrics_are_histograms(spark):
+    frame = spark.createDataFrame([(1, 0, [0.0, 1.0, 4.0, None]), (1, 1, []), (1, 2, None), (1, 3, [2.0])], "run_id int, iter int, dt array<double>")
+    long = {(r.iter, r.key): r.value for r in metrics_long(frame, {"Timing": ["dt"]}, bins=2).collect()}
+    assert len(long) == 16
+    assert [long[0, k] for k in ("dt/low", "dt/high", "dt/0", "dt/1")] == [0.0, 4.0, 2.0, 1.0]
+    assert [long[3, k] for k in ("dt/low", "dt/high", "dt/0", "dt/1")] == [1.5, 2.5, 0.0, 1.0]
+    assert {long[i, k] for i in (1, 2) for k in ("dt/low", "dt/high", "dt/0", "dt/1")} == {None}

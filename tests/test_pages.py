@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.chars import collect_vocab
 from corpusflow.operators.encode import CharEncoder
-from corpusflow.operators.pages import contiguous_shards, token_offsets, token_pages, token_totals
-from corpusflow.operators.sampling import sample_blocks, split_sizes
+from corpusflow.operators.pages import contiguous_shards, in_order, page_pieces, token_offsets, token_pages, token_totals
+from corpusflow.operators.sampling import sample_blocks, sample_documents, split_sizes
 from corpusflow.operators.splits import split_contiguous, split_random
 from corpusflow.operators.vocab import build_vocab
 from corpusflow.plans.char_corpus import char_pages
-from pyspark.sql.datasource import GreaterThan, In
+from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, In, LessThan, LessThanOrEqual
 
-from corpusflow.sources.tokenfile import TokenFileReader, pages_per_file, read_token_files, write_token_files
+from corpusflow.sources.tokenfile import TokenFileReader, pages_per_file, read_token_files, sample_token_files, write_token_files
 
 P = 8
 # shorter than a page, exactly a page, across three pages, an empty document between two others
@@ -232,3 +232,84 @@ def test_char_pages_decode_to_the_text(spark):
     back = {i: c for c, i in known.items()}
     pages = joined(char_pages(df, P, CharEncoder(known)))
     assert "".join(back[i] for ids in pages["train"] for i in ids) == "".join(texts)
+
+
+def test_rows_travel_once_and_pieces_remain_at_ends(spark, coded, streams):
+    offsets = token_offsets(coded)
+    placed = in_order(coded.select("split", "doc_id", "ids"), offsets)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == 1 and "Join" not in plan.split("rangepartitioning")[0]
+    cut = page_pieces(placed.coalesce(1), P).collect()
+    whole = [r for r in cut if r.at is None]
+    assert len(whole) == sum(len(s) // P for s in streams.values()) and all(len(r.ids) == P for r in whole)
+    assert len(cut) - len(whole) <= len(streams)
+    # in any order of rows the pieces are the right ones
+    for rows in (cut, page_pieces(placed.orderBy(F.rand(3)), P).collect()):
+        for split, ids in streams.items():
+            got = dict(p for r in rows if r.split == split for p in enumerate(r.ids, r.page * P + (r.at or 0)))
+            assert [got[i] for i in range(len(ids))] == ids and len(got) == len(ids)
+
+
+@pytest.mark.parametrize("layout", ["parts", "single"])
+def test_pages_are_written_where_they_lie(spark, coded, streams, tmp_path, layout):
+    path = str(tmp_path / "store")
+    write_token_files(token_pages(coded, P), path, page_size=P, layout=layout, in_stretches=True)
+    assert {s: [t for ids in lists for t in ids] for s, lists in joined(read_token_files(spark, path, page_size=P)).items()} == streams
+    drawn = sample_token_files(spark, path, iters=5, batch=3, block=7, tasks=4).collect()
+    assert len(drawn) == 5 * 3 * len(streams)
+    for d in drawn:
+        assert d.x == streams[d.split][d.start : d.start + 7] and d.y == streams[d.split][d.start + 1 : d.start + 8]
+    same = sample_blocks(token_pages(coded, P), iters=5, batch=3, block=7, page_size=P).collect()
+    assert sorted(map(tuple, drawn)) == sorted(map(tuple, same))
+
+
+def test_ranges_of_pages_are_read(spark, tmp_path):
+    np.arange(1000, dtype="<u2").tofile(tmp_path / "train.bin")
+
+    def pages(*filters):
+        reader = TokenFileReader(str(tmp_path), 4, 40)
+        assert [f for f in reader.pushFilters(list(filters)) if isinstance(f, (EqualTo, In))] == []
+        return sorted({run.first_page + k for part in reader.partitions() for run in part.runs for k in range(-(-sum(n for *_, n in run.pieces) // 4))})
+
+    assert pages(GreaterThan(("page",), 3), LessThanOrEqual(("page",), 9)) == list(range(4, 10))
+    assert pages(GreaterThanOrEqual(("page",), 240), GreaterThan(("page",), 5)) == list(range(240, 250))
+    assert pages(LessThan(("page",), 2), EqualTo(("split",), "train")) == [0, 1]
+    assert pages(LessThan(("page",), 0)) == [] and pages(GreaterThan(("page",), 900)) == []
+    assert pages() == list(range(250))
+    back = read_token_files(spark, str(tmp_path), page_size=4).where("page BETWEEN 7 AND 9 AND page <> 8")
+    assert {r.page: r.ids for r in back.collect()} == {7: [28, 29, 30, 31], 9: [36, 37, 38, 39]}
+
+
+def test_scattered_pages_are_dealt_out(tmp_path):
+    np.zeros(80_000, dtype="<u2").tofile(tmp_path / "train.bin")
+    reader = TokenFileReader(str(tmp_path), 4, 1 << 24)
+    list(reader.pushFilters([In(("page",), tuple(range(0, 20_000, 10)))]))
+    parts = reader.partitions()
+    assert len(parts) >= 30 and sum(len(p.runs) for p in parts) == 2_000
+
+
+@pytest.mark.parametrize("block", [1, 7, 25])
+def test_blocks_come_from_drawn_documents_alone(spark, block):
+    draw = random.Random(block)
+    texts = {s: ["".join(draw.choice("abé😀") for _ in range(draw.choice([0, 1, 3, 9, 60]))) for _ in range(60)] for s in ("x", "y")}
+    rows = [(s, 5 * i, t) for s, ts in texts.items() for i, t in enumerate(ts)]
+    docs = spark.createDataFrame(rows, "split string, doc_id bigint, text string").repartition(3)
+    encoder, encoded = CharEncoder({c: i for i, c in enumerate("abé😀")}), []
+
+    def encode(df):
+        encoded.extend((r.split, r.doc_id) for r in df.collect())
+        return encoder.encode(df)
+
+    got = sample_documents(docs, encode, iters=3, batch=2, block=block, seed=4, bits=3).collect()
+    assert len(got) == 12
+    touched = set()
+    for d in got:
+        whole = "".join(texts[d.split])
+        assert ["abé😀"[i] for i in d.x] == list(whole[d.start : d.start + block])
+        assert ["abé😀"[i] for i in d.y] == list(whole[d.start + 1 : d.start + block + 1])
+        at = 0
+        for i, t in enumerate(texts[d.split]):
+            if t and at <= d.start + block and at + len(t) > d.start:
+                touched.add((d.split, 5 * i))
+            at += len(t)
+    assert len(encoded) == len(set(encoded)) and set(encoded) == touched and len(touched) < len(rows)

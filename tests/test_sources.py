@@ -9,7 +9,7 @@ from corpusflow.scratch import checkpoint_root, scratch_path, stored
 from corpusflow.sinks.tables import write_vocab
 from corpusflow.sources.dataset import read_dataset, read_encoder, read_vocab
 from corpusflow.sources.tables import spread
-from corpusflow.sources.text import read_text_corpus, sum_first_field
+from corpusflow.sources.text import read_text_corpus, read_text_lines, sum_first_field
 
 
 def test_text_files_are_rows_with_unix_line_ends(spark, tmp_path):
@@ -60,3 +60,22 @@ def test_scratch(spark):
     assert stored(spark.range(5), "five").count() == 5
     assert spread(spark.range(0, 10, 1, 1), "id").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert spread(spark.range(0, 10, 1, 64), "id").rdd.getNumPartitions() == 64
+
+
+def test_lines_of_cut_files_are_the_whole_text(spark, tmp_path):
+    long = "aé漢😀 " * 3_000
+    files = {"a": f"x\r\ny\rz\n{long}\n\nend", "b": f"{long}\n{long}\n", "c": "one", "d": "\n", "e": "\r\n" * 2_000, "f": "q\r"}
+    for name, text in files.items():
+        (tmp_path / f"{name}.txt").write_bytes(text.encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        lines = read_text_lines(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 50
+        rows = sorted(lines.collect(), key=lambda r: r.place)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    whole = {r.path: r.text for r in read_text_corpus(spark, str(tmp_path)).collect()}
+    assert len(whole) == len(files)
+    for path, text in whole.items():
+        assert "".join(r.text for r in rows if r.path == path) == text
