@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +62,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Store what ``make`` gives and delete the intermediate tables that making it has left."""
+    before = len(_OPEN)
+    out = stored(make(), name)
+    for path in _OPEN[before:-1]:
+        delete_path(spark, path)
+    del _OPEN[before:-1]
+    return out
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on any file system Spark reads."""
     files, place = _hadoop(spark, path)
