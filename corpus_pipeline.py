@@ -9,6 +9,8 @@ target weights.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusflow.llm.decontaminate import drop_contaminated
@@ -17,7 +19,7 @@ from corpusflow.llm.queries import fold
 from corpusflow.llm.secret_scan import redact_secrets
 from corpusflow.llm.simhash import drop_near_copies
 from corpusflow.llm.toxicity import drop_toxic
-from corpusflow.scratch import stored
+from corpusflow.scratch import stored_alone
 from corpusflow.ship import ship_package
 from corpusflow.sources.tables import read_table
 
@@ -62,5 +64,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``, each result stored and read again by the next."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored_alone(spark, partial(stage, spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -72,3 +72,20 @@ def test_columns_and_rows_stay(spark):
     texts = {r.doc_id: r.text for r in rows}
     assert texts[3] is None and texts[4] == "" and texts[2] == "" and texts[1]  # of equal texts the first id stays, repeated rows go alike
     assert remove_repeated_spans(docs_frame(spark, [])).count() == 0
+
+
+def test_passages_without_marks_and_without_spaces(spark):
+    """A passage is cut alike wherever it begins, and counted where words have no spaces."""
+    ship_package(spark)
+    passage = prose(41, 200, 5_000).replace(".", "").lower()
+    rows = [(400 + k, " ".join(f"x{k}y{i}" for i in range(3 + 7 * k)) + " " + passage + " " + " ".join(f"z{k}y{i}" for i in range(30)), "en", "a") for k in range(8)]
+    signs = "".join(chr(0x4E00 + 7 * i) + ("\u3002" if i % 12 == 11 else "") for i in range(120))
+    rows += [(500 + k, chr(0x6000 + k) * 30 + "\u3002" + signs, "zh", "a") for k in range(3)]
+    quoted = 'He said "this is the place of it all." (So they went on to the old house by the river.) '
+    rows += [(600 + k, f"Number {k} has a start of its own.\n" + quoted * 1 + "And it ended there.", "en", "a") for k in range(3)]
+    kept = {r.doc_id: r for r in remove_repeated_spans(docs_frame(spark, rows)).collect()}
+    assert kept[400].n_removed == 0 and all(150 <= kept[400 + k].n_words_removed <= 200 for k in range(1, 8))
+    assert all(f"x{k}y0" in kept[400 + k].text and f"z{k}y29" in kept[400 + k].text for k in range(8))
+    assert kept[500].n_removed == 0 and all(kept[500 + k].n_removed == 10 and kept[500 + k].text == rows[8 + k][1][:31] for k in (1, 2))
+    assert cut_sentences(quoted)[0].endswith('all." ')
+    assert all(kept[600 + k].text == f"Number {k} has a start of its own.\n" for k in (1, 2))
