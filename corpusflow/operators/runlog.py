@@ -45,8 +45,25 @@ def seconds_between(later: Column, earlier: Column) -> Column:
     return micros / F.lit(1e6)
 
 
-def step_dt(df: DataFrame, run: str = "run_id", step: str = "iter", ts: str = "ts", out: str = "dt", bits: int = SCAN_BITS) -> DataFrame:
-    """Add the seconds since the previous iteration of the run; NULL for its first."""
+def step_dt(df: DataFrame, run: str = "run_id", step: str = "iter", ts: str = "ts", out: str = "dt", bits: int = SCAN_BITS, dense: bool = False) -> DataFrame:
+    """Add the seconds since the previous iteration of the run; NULL for its first.
+
+    ``dense`` says that iterations have no gaps, as :func:`corpusflow.operators.scan.number_rows`
+    gives them: then one exchange suffices, as the last row of a bucket of iterations is
+    sent to the next bucket as well.
+    """
+    if dense:
+        bucket = lambda step: F.shiftright(step.cast("bigint"), bits)
+        rows = df.withColumns({"_bucket": bucket(F.col(step)), "_carried": F.lit(False)})
+        carried = rows.where((F.col(step) + 1) % (1 << bits) == 0).withColumns({"_bucket": F.col("_bucket") + 1, "_carried": F.lit(True)})
+        # null runs are a group of windows like any other
+        along = Window.partitionBy(run, "_bucket").orderBy(step)
+        before = F.lag(F.struct(F.col(ts).alias("ts"), F.col(step).alias("step"))).over(along)
+        timed = rows.unionByName(carried).repartition(run, "_bucket").withColumn("_before", before)
+        gap = F.raise_error(F.concat(F.lit("step_dt: no single row before iteration "), F.col(step).cast("string")))
+        known = F.when(F.col(step) == 0, F.col("_before").isNull()).otherwise(F.coalesce(F.col("_before.step") == F.col(step) - 1, F.lit(False)))
+        checked = timed.where(~F.col("_carried")).withColumn(out, F.when(known, seconds_between(F.col(ts), F.col("_before.ts"))).otherwise(gap))
+        return checked.drop("_bucket", "_carried", "_before")
     latest = F.struct(F.col(step).alias("step"), F.col(ts).alias("ts"))
     scanned = exclusive_scan(df, latest, step, by=[run], out="_prev", how="max", bits=bits)
     return scanned.withColumn(out, seconds_between(F.col(ts), F.col("_prev.ts"))).drop("_prev")

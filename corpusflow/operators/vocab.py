@@ -10,15 +10,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusflow.functions.chars import MAX_CODE_POINTS, explode_chars
+from corpusflow.ship import ship_package
 
 # Texts whose characters are counted at once.
 COUNT_ROWS = 256
 
 
 def distinct_chars(df: DataFrame, text: str = "text") -> DataFrame:
-    """The characters in use.  Each text is reduced to its own set before rows are made of it."""
-    chars = df.select(F.explode(F.array_distinct(F.split(text, ""))).alias("ch"))
-    return chars.where(F.col("ch") != "").distinct()
+    """The characters in use: every task counts code points and hands on one row per character."""
+    return char_freq(df, text).select("ch")
+
+
+def _one_each(vocab: DataFrame) -> DataFrame:
+    """The rows of single characters, one for each: no more than there are code points, so fit for broadcast."""
+    return vocab.where(F.length("ch") == 1).dropDuplicates(["ch"])
 
 
 def build_vocab(df: DataFrame, text: str = "text") -> DataFrame:
@@ -53,6 +58,7 @@ def char_freq(df: DataFrame, text: str = "text", by: tuple[str, ...] = ()) -> Da
     Without groups, every task counts code points and hands on one row per character.
     """
     if not by:
+        ship_package(df.sparkSession)
         counted = df.select(text).mapInArrow(_counted_chars, "ch string, cnt long")
         return counted.groupBy("ch").agg(F.sum("cnt").alias("cnt"))
     rows = df.select(*by, F.explode(F.split(text, "")).alias("ch")).where(F.col("ch") != "")
@@ -75,7 +81,7 @@ def corpus_stats(df: DataFrame, text: str = "text", by: tuple[str, ...] = ()) ->
 
 def oov_chars(df: DataFrame, vocab: DataFrame, text: str = "text") -> DataFrame:
     """Characters of the corpus that the vocabulary lacks, with their counts."""
-    return char_freq(df, text).join(F.broadcast(vocab.select("ch")), "ch", "left_anti")
+    return char_freq(df, text).join(F.broadcast(_one_each(vocab).select("ch")), "ch", "left_anti")
 
 
 def oov_rows(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -85,10 +91,10 @@ def oov_rows(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "do
     its distinct characters before it meets the vocabulary.
     """
     chars = df.select(key, F.explode(F.array_distinct(F.split(text, ""))).alias("ch")).where(F.col("ch") != "")
-    missing = chars.join(F.broadcast(vocab.select("ch")), "ch", "left_anti")
+    missing = chars.join(F.broadcast(_one_each(vocab).select("ch")), "ch", "left_anti")
     return missing.groupBy(key).agg(F.array_sort(F.collect_list("ch")).alias("chars"))
 
 
 def token_long(df: DataFrame, vocab: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per character with its id: ``keys…, pos, ch, id`` (broadcast hash join)."""
-    return explode_chars(df, text, keys).join(F.broadcast(vocab.select("ch", "id")), "ch")
+    return explode_chars(df, text, keys).join(F.broadcast(_one_each(vocab).select("ch", "id")), "ch")

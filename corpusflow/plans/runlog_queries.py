@@ -120,7 +120,7 @@ def lr_schedule(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {LOG} SELECT run_id, iter, round(dt, 6) AS dt FROM timed")
 def step_dt(spark: SparkSession, folder: str) -> DataFrame:
-    return runlog.step_dt(run_log(spark, folder)).select("run_id", "iter", F.round("dt", 6).alias("dt"))
+    return runlog.step_dt(run_log(spark, folder), dense=True).select("run_id", "iter", F.round("dt", 6).alias("dt"))
 
 
 @query(f"""
@@ -134,7 +134,7 @@ def step_dt(spark: SparkSession, folder: str) -> DataFrame:
 def step_throughput(spark: SparkSession, folder: str) -> DataFrame:
     rates = metrics.throughput("dt", metrics.BatchShape(gas=5, world=8, batch=12, block=1024))
     digits = {name: 3 if name.startswith("tokens") else 6 for name in rates}
-    return runlog.step_dt(run_log(spark, folder)).select(
+    return runlog.step_dt(run_log(spark, folder), dense=True).select(
         "run_id",
         "iter",
         F.round(metrics.loss_total("loss", 5), 6).alias("loss_tot"),
@@ -150,7 +150,7 @@ def step_throughput(spark: SparkSession, folder: str) -> DataFrame:
 def step_mfu(spark: SparkSession, folder: str) -> DataFrame:
     shape = metrics.ModelShape(n_layer=12, n_head=12, n_embd=768, block_size=1024, vocab_size=50257, bias=True)
     share = metrics.mfu("dt", shape, passes=60)
-    return runlog.step_dt(run_log(spark, folder)).select("run_id", "iter", F.round(share, 9).alias("mfu"))
+    return runlog.step_dt(run_log(spark, folder), dense=True).select("run_id", "iter", F.round(share, 9).alias("mfu"))
 
 
 @query(f"WITH {LOG} SELECT run_id, iter, loss FROM log WHERE iter % 10 = 0 AND iter < 50")
@@ -190,7 +190,7 @@ def ema_loss(spark: SparkSession, folder: str) -> DataFrame:
 def running_mfu(spark: SparkSession, folder: str) -> DataFrame:
     """Moving average of the utilisation over logged steps, in per cent; steps without a time have none."""
     shape = metrics.ModelShape(vocab_size=50257, bias=True)
-    logged = runlog.every_n(runlog.step_dt(run_log(spark, folder)), 5)
+    logged = runlog.every_n(runlog.step_dt(run_log(spark, folder), dense=True), 5)
     shares = logged.select("run_id", "iter", (100 * metrics.mfu("dt", shape, passes=60)).alias("share"))
     return runlog.ema(shares, "share", out="mfu").select("run_id", "iter", F.round("mfu", 6).alias("mfu"))
 
@@ -333,7 +333,7 @@ def metrics_long_arrays(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def metrics_long(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics in long form, written and read back."""
-    timed = runlog.step_dt(run_log(spark, folder))
+    timed = runlog.step_dt(run_log(spark, folder), dense=True)
     wide = timed.select("run_id", "iter", "loss", metrics.loss_total("loss", 5).alias("loss_tot"), F.round("dt", 6).alias("dt"))
     long = runlog.metrics_long(wide, {"Training": ["loss"], "Loss": ["loss_tot"], "Timing": ["dt"]})
     path = scratch_path(spark, "metrics")

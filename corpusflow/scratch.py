@@ -72,6 +72,12 @@ def stored_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str)
     return out
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system: one without a scheme means the session's, not each executor's disk."""
+    files, place = _hadoop(spark, path)
+    return files.makeQualified(place).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on any file system Spark reads."""
     files, place = _hadoop(spark, path)

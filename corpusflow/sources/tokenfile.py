@@ -44,6 +44,7 @@ from pyspark.sql.datasource import (
 )
 
 from corpusflow.functions.lists import list_parts
+from corpusflow.scratch import qualified
 from corpusflow.ship import ship_package
 
 # Fixed values of the format: unsigned 16-bit ids, little endian, no header.
@@ -62,8 +63,11 @@ FILE_PAGES = 65536
 
 
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri(path)
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path.removeprefix("file:")
+    if "://" in path:
+        # Arrow knows the store by the name without the letter of Hadoop's driver
+        return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1) if path.startswith("s3a://") else path)
     return pafs.LocalFileSystem(), os.path.abspath(path)
 
 
@@ -287,6 +291,9 @@ class PartsWriter(DataSourceArrowWriter):
             start = place.get(split, 0)
             if start != first * self.page_size:
                 raise ValueError(f"split {split!r}: pages before {first} are missing, repeated or not full")
+            size = fs.get_file_info(posixpath.join(root, file)).size
+            if size != tokens * ID_TYPE.itemsize:
+                raise ValueError(f"{file} holds {size} bytes, not the {tokens} ids its task wrote")
             listed.append({"split": split, "file": file, "start": start, "count": tokens})
             place[split] = start + tokens
         manifest = posixpath.join(root, MANIFEST)
@@ -300,14 +307,20 @@ class PartsWriter(DataSourceArrowWriter):
         fs.move(f"{manifest}.{self.job}", manifest)
         for entry in old:
             fs.delete_file(posixpath.join(root, entry["file"]))
+        # attempts that were repeated have left files that no message names
+        self._remove({entry["file"] for entry in listed})
 
-    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        # failed tasks send no message, so the job's number in the name finds their files
+    def _remove(self, kept: set[str]) -> None:
+        """Delete this job's files but those kept."""
         fs, root = _filesystem(self.path)
         for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True, recursive=True)):
-            if info.type == pafs.FileType.File and f"-{self.job}-" in info.base_name:
+            if info.type == pafs.FileType.File and f"-{self.job}-" in info.base_name and posixpath.relpath(info.path, root) not in kept:
                 fs.delete_file(info.path)
 
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        # failed tasks send no message, so the job's number in the name finds their files
+        self._remove(set())
+
 
 class SingleWriter(DataSourceArrowWriter):
     """Layout ``single``: pages go straight to their places in ``{split}.bin``."""
@@ -399,9 +412,8 @@ def read_token_files(spark: SparkSession, path: str, page_size: int = 1024, task
     spark.dataSource.register(TokenFiles)
     # filters reach Python sources only where the session allows it
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return (
-        spark.read.format("tokenfiles").option("page_size", page_size).option("task_tokens", task_tokens).load(path)
-    )
+    reader = spark.read.format("tokenfiles").option("page_size", page_size).option("task_tokens", task_tokens)
+    return reader.load(qualified(spark, path))
 
 
 def sample_token_files(spark: SparkSession, path: str, iters: int, batch: int, block: int, seed: int = 1337, tasks: int | None = None) -> DataFrame:
@@ -414,6 +426,7 @@ def sample_token_files(spark: SparkSession, path: str, iters: int, batch: int, b
     from corpusflow.operators.sampling import draw_starts
 
     ship_package(spark)
+    path = qualified(spark, path)
     extents = sorted(_extents(path), key=lambda e: (e.split, e.start))
     totals = {e.split: e.start + e.count for e in extents}
     sizes = spark.createDataFrame(sorted(totals.items()), "split string, n bigint")
@@ -473,4 +486,4 @@ def write_token_files(
     if not in_stretches:
         rows = rows.repartition("split", F.expr(f"page div {file_pages}")).sortWithinPartitions("split", "page")
     writer = rows.write.format("tokenfiles").mode(mode)
-    writer.option("page_size", page_size).option("layout", layout).save(path)
+    writer.option("page_size", page_size).option("layout", layout).save(qualified(spark, path))

@@ -5,6 +5,7 @@ import random
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from corpusflow.operators.vocab import build_vocab
 from corpusflow.plans.char_corpus import char_pages
 from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, In, LessThan, LessThanOrEqual
 
-from corpusflow.sources.tokenfile import TokenFileReader, pages_per_file, read_token_files, sample_token_files, write_token_files
+from corpusflow.sources.tokenfile import PartsWriter, TokenFileReader, pages_per_file, read_token_files, sample_token_files, write_token_files
 
 P = 8
 # shorter than a page, exactly a page, across three pages, an empty document between two others
@@ -313,3 +314,33 @@ def test_blocks_come_from_drawn_documents_alone(spark, block):
                 touched.add((d.split, 5 * i))
             at += len(t)
     assert len(encoded) == len(set(encoded)) and set(encoded) == touched and len(touched) < len(rows)
+
+
+def batch(split, page, ids):
+    return pa.record_batch({"split": [split] * len(ids), "page": pa.array(range(page, page + len(ids)), pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32()))})
+
+
+def test_repeated_and_failed_tasks_leave_nothing(tmp_path):
+    root = tmp_path / "store"
+    writer = PartsWriter(f"file://{root}", 2, False)
+    first = writer.write(iter([batch("train", 0, [[1, 2], [3, 4]])]))
+    again = writer.write(iter([batch("train", 0, [[1, 2], [3, 4]])]))  # the first attempt's message is lost
+    second = writer.write(iter([batch("train", 2, [[5]]), batch("val", 0, [[6]])]))
+    with pytest.raises(ValueError, match="does not fit"):
+        writer.write(iter([batch("val", 1, [[7, 8]]), batch("val", 2, [[70_000]])]))
+    assert len(list(root.rglob("*.bin"))) == 5 and first.files != again.files
+    writer.commit([again, second, None])
+    listed = json.loads((root / "manifest.json").read_text())["files"]
+    assert {str(f.relative_to(root)) for f in root.rglob("*.bin")} == {f["file"] for f in listed}
+    assert b"".join((root / f["file"]).read_bytes() for f in listed if f["split"] == "train") == np.arange(1, 6, dtype="<u2").tobytes()
+
+
+def test_cut_files_are_not_committed(tmp_path):
+    writer = PartsWriter(f"file://{tmp_path}", 2, False)
+    message = writer.write(iter([batch("train", 0, [[1, 2], [3, 4]])]))
+    (tmp_path / message.files[0][1]).write_bytes(b"\0\0")
+    with pytest.raises(ValueError, match="holds 2 bytes"):
+        writer.commit([message])
+    assert not (tmp_path / "manifest.json").exists()
+    writer.abort([message])
+    assert not list(tmp_path.rglob("*.bin"))

@@ -13,6 +13,7 @@ from corpusflow.functions import metrics, nested
 from corpusflow.functions.completions import split_completion
 from corpusflow.functions.lists import array_histogram
 from corpusflow.operators import runlog
+from corpusflow.operators.runlog import step_dt
 from corpusflow.sinks.tables import append_registry, write_run_metrics
 
 
@@ -175,3 +176,16 @@ def test_split_completion(spark):
     df = spark.createDataFrame([("one",), ("p\nl1\nl2",), ("",), ("p\n",)], "text string")
     got = [(r.prompt, r.formatted) for r in split_completion(df).collect()]
     assert got == [("one", "> "), ("p", "> l1\n> l2"), ("", "> "), ("p", "> ")]
+
+
+@pytest.mark.parametrize("bits", [1, 3, 16])
+def test_times_of_dense_steps_take_one_exchange(spark, bits):
+    rows = [(run, i, float(3 * i * i + k)) for k, run in enumerate(["a", "b", None]) for i in range(20 if k else 33)]
+    log = spark.createDataFrame(rows, "run_id string, iter bigint, s double").withColumn("ts", F.timestamp_seconds("s"))
+    timed = step_dt(log.repartition(4), bits=bits, dense=True)
+    got = {(r.run_id, r.iter): r.dt for r in timed.collect()}
+    assert got == {(run, i): None if i == 0 else float(3 * (2 * i - 1)) for run, i, _ in rows}
+    plan = step_dt(log, bits=bits, dense=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "Join" not in plan
+    with pytest.raises(Exception, match="no single row before"):
+        step_dt(log.where("iter <> 7"), bits=bits, dense=True).collect()

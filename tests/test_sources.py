@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.functions.subword import byte_ranks
-from corpusflow.operators.vocab import build_vocab
-from corpusflow.scratch import checkpoint_root, scratch_path, stored
+from corpusflow.operators.vocab import build_vocab, oov_chars, oov_rows, token_long
+from corpusflow.scratch import checkpoint_root, qualified, scratch_path, stored
 from corpusflow.sinks.tables import write_vocab
 from corpusflow.sources.dataset import read_dataset, read_encoder, read_vocab
 from corpusflow.sources.tables import spread
@@ -79,3 +79,16 @@ def test_lines_of_cut_files_are_the_whole_text(spark, tmp_path):
     assert len(whole) == len(files)
     for path, text in whole.items():
         assert "".join(r.text for r in rows if r.path == path) == text
+
+
+def test_vocabularies_with_odd_rows_are_joined_once(spark):
+    docs = spark.createDataFrame([(1, "abé"), (2, None), (3, ""), (4, "zz")], "doc_id bigint, text string")
+    assert [r.ch for r in build_vocab(docs).orderBy("id").collect()] == ["a", "b", "z", "é"]
+    odd = spark.createDataFrame([(0, "a"), (0, "a"), (1, "bé"), (2, None), (3, "é")], "id int, ch string")
+    assert {(r.ch, r.cnt) for r in oov_chars(docs, odd).collect()} == {("b", 1), ("z", 2)}
+    assert {(r.doc_id, tuple(r.chars)) for r in oov_rows(docs, odd).collect()} == {(1, ("b",)), (4, ("z",))}
+    assert sorted((r.doc_id, r.pos, r.id) for r in token_long(docs, odd).collect()) == [(1, 0, 0), (1, 2, 3)]
+
+
+def test_paths_without_scheme_belong_to_the_session(spark, tmp_path):
+    assert qualified(spark, str(tmp_path)) == f"file:{tmp_path}" and qualified(spark, f"file://{tmp_path}").startswith("file:")
