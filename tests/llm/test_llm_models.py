@@ -10,7 +10,8 @@ from corpusflow.llm import queries
 from corpusflow.llm.language_svm import DIM, LanguageModel, fit_languages, identify, linear_svm, train_languages, vector
 from corpusflow.llm.quality_trees import DEPTH, FEATURES, fit_forest, score_quality, statistics, train_quality
 from corpusflow.llm.toxicity import (
-    DECAY, ORDER, SPAN, coded, drop_toxic, kernel, score_toxicity, text_value, train_toxicity, train_words, word_values,
+    BITS, DECAY, FACTORS, ORDER, SPAN, coded, drop_toxic, kernel, score_toxicity, sentences, squared_hinge_svm, text_value, train_toxicity,
+    train_windows, window_values, windows, worst_windows,
 )
 from corpusflow.ship import ship_package
 from llm_helpers import awkward_rows, docs_frame, prose
@@ -104,53 +105,114 @@ def test_language_of_awkward_rows(spark):
     assert identify(docs.where("false"), none, ["doc_id"]).count() == 0
 
 
-def plain_kernel(a: bytes, b: bytes) -> float:
-    """The normalised kernel of two coded words by listing all runs."""
+def plain_runs(window: str) -> list[tuple[int, float]]:
+    """Hash and weight of every run of a window of one or two coded words, one by one."""
     from itertools import combinations
 
-    def features(word):
-        word = b"\0" + word + b"\0"
-        out = {}
-        for places in combinations(range(len(word)), ORDER):
-            span = places[-1] - places[0]
-            if span < SPAN:
-                key = bytes(word[p] for p in places)
-                out.setdefault(key, []).append(DECAY**span)
-        return out
+    text, out = f" {window} ", []
+    for places in combinations(range(len(text)), ORDER):
+        span = places[-1] - places[0]
+        if span < SPAN:
+            mixed = sum(ord(text[p]) * f for p, f in zip(places, FACTORS, strict=True)) % (1 << 32)
+            out.append((mixed >> (32 - BITS), DECAY**span))
+    return out
 
-    fa, fb = features(a), features(b)
-    norm = lambda f: np.sqrt(sum(v * v for vs in f.values() for v in vs))
-    return sum(sum(fa[k]) * sum(fb[k]) for k in fa if k in fb) / norm(fa) / norm(fb)
+
+def plain_value(window: str, weights: np.ndarray) -> float:
+    runs = plain_runs(window)
+    return sum(weights[h] * v for h, v in runs) / np.sqrt(sum(v * v for _, v in runs)) if runs else -np.inf
+
+
+def plain_windows(text: str) -> list[str]:
+    found = []
+    for sentence in sentences(text):
+        words = sentence.split(" ")
+        found += words + [f"{words[i]} {words[i + 1]}" for i in range(len(words) - 1)]
+    return found
 
 
 def test_kernel_equals_a_listing_of_runs():
-    words = [coded(w).tobytes().strip(b"\0") for w in ("idiot", "idxiot", "banana", "to", "straße", "a")]
-    got = kernel(words, words)
-    want = [[plain_kernel(a, b) for b in words] for a in words]
-    assert np.allclose(got, want, atol=1e-5)
+    parts = ["idiot", "idxiot", "banana", "to", "strase", "a", "go away", "идиот", "go"]
+
+    def plain(a, b):
+        table = {}
+        for h, v in plain_runs(b):
+            table[h] = table.get(h, 0.0) + v
+        norm = np.sqrt(sum(v * v for _, v in plain_runs(a)) * sum(v * v for _, v in plain_runs(b)))
+        return sum(v * table.get(h, 0.0) for h, v in plain_runs(a)) / norm
+
+    got = kernel(parts, parts)
+    assert np.allclose(got, [[plain(a, b) for b in parts] for a in parts], atol=1e-5)
     assert got[0, 1] > 3 * got[0, 2]
 
 
 def test_codes_pass_over_signs_and_close_spaced_letters():
     plain = coded("x idiot y").tobytes()
-    for text in ("x i-d-i-o-t y", "x 1d10t y", "x ÍDIÓT! y", "x i.d.i.o.t, y"):
+    for text in ("x i-d-i-o-t y", "x 1d10t y", "x ÍDIÓT! y".replace("!", ","), "x i.d.i.o.t, y", "x  idiot - y", "x \U0001d55a\U0001d555\U0001d55a\U0001d560\U0001d565 y"):
         assert coded(text).tobytes() == plain
     assert coded("word i d i o t end").tobytes() == coded("word idiot end").tobytes()
     assert coded("word a b end").tobytes() != coded("word ab end").tobytes()
-    assert coded("").tobytes() == b"\0\0"
-
-
-def test_folded_weights_give_the_landmark_scores():
+    assert coded("").tolist() == coded(" .\n ").tolist() == [10]
+    assert sentences("One two. Three\nfour! \U0001f600 Пять。шесть...") == ["one two", "three", "four", "пять", "шесть"]
+    assert sentences(None) == sentences("") == sentences("?! 9") == []
+    assert windows("go far away") == ["away", "far", "far away", "go far"]
+
+
+def test_text_values_equal_a_listing_of_windows():
+    rng = np.random.default_rng(5)
+    weights = rng.normal(size=1 << BITS).astype(np.float32)
+    texts = [prose(1, 50), "a", "a b", "One. Two three, four\nfive i d i o t. Ж ш", "x" * 300, "word " * 40 + "\u00df \U0001d41a end."]
+    for text in texts:
+        want = [plain_value(w, weights) + 0.25 for w in plain_windows(text)]
+        worst, count = text_value(text, weights, 0.25)
+        assert worst == pytest.approx(max([-1.0, *want]), abs=1e-3) and count == sum(v > 0 for v in want)
+        bags = sentences(text)
+        for bag, (value, window) in zip(bags, worst_windows(bags, weights), strict=True):
+            assert value == pytest.approx(max(plain_value(w, weights) for w in plain_windows(bag)), abs=1e-3)
+            assert value == pytest.approx(plain_value(window, weights), abs=1e-3)
+
+
+def test_pieces_of_long_texts_share_a_word(monkeypatch):
+    rng = np.random.default_rng(6)
+    weights = rng.normal(size=1 << BITS).astype(np.float32)
+    for seed in range(8):
+        text = prose(seed, 60)
+        whole = text_value(text, weights, -1.0)
+        for piece in (20, 64, 200):  # longer than any word
+            monkeypatch.setattr("corpusflow.llm.toxicity.PIECE", piece)
+            worst, count = text_value(text, weights, -1.0)
+            assert worst == pytest.approx(whole[0], abs=1e-4) and count == whole[1]
+        monkeypatch.undo()
+
+
+def test_svm_reaches_the_least_loss():
+    rng = np.random.default_rng(7)
+    x = np.c_[rng.normal(size=(400, 3)), np.ones(400)].astype(np.float32)
+    y = np.where(x[:, 0] + 0.5 * x[:, 1] + 0.3 * rng.normal(size=400) > 0.4, 1.0, -1.0)
+    got = squared_hinge_svm([(x[y < 0], -1.0), (x[y > 0], 1.0)], 2.0, steps=50)
+    ridge = np.array([1, 1, 1, 1e-3])
+    w = np.zeros(4)
+    for _ in range(20_000):  # plain gradient descent
+        short = np.maximum(1 - y * (x @ w), 0)
+        w -= 2e-4 * (ridge * w - 2.0 * x.T @ (y * short))
+    assert np.allclose(got, w, atol=1e-2)
+
+
+def test_weights_from_windows_and_sentences():
     rng = np.random.default_rng(4)
-    clean = sorted({bytes(rng.integers(1, 27, int(rng.integers(4, 9))).astype(np.uint8)) for _ in range(300)})
-    insults = [coded(w).tobytes().strip(b"\0") for w in ("idiot", "trottel", "cretin")]
-    suspects = [(i, insults[i % 3], 10) for i in range(30)] + [(i, clean[i][::-1] + b"\1", 1) for i in range(30)]
-    weights, bias = train_words(clean, suspects)
-    value = lambda text: word_values(coded(text), weights).max(initial=-1) + bias
-    assert min(map(value, ("idiot", "you idiots", "i d i o t", "id1ot", "idixot", "tr-ottel", "cretin!"))) > 0
-    assert np.mean([word_values(np.frombuffer(b"\0" + w + b"\0", np.uint8), weights)[0] + bias > 0 for w in clean]) < 0.02
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, int(rng.integers(4, 9))))
+    clean = sorted({word() for _ in range(300)} | {"take", "hike"})
+    bags = [" ".join(rng.choice(clean, 6)) for _ in range(200)]
+    clean = sorted({*clean, *(f"take {w}" for w in clean[:40]), *(f"{w} hike" for w in clean[:40])})  # words of clean sentences
+    insults = ["idiot", "trottel", "cretin", "take hike", "дурак"]
+    suspects = [(i, insults[i % 5], 100.0) for i in range(50)] + [(i, word()[::-1] + "q", 2.0) for i in range(50)]
+    weights, bias = train_windows(clean, bags, suspects)
+    value = lambda text: text_value(text, weights, bias)[0]
+    assert min(map(value, ("idiot", "you idiots", "i d i o t", "id1ot", "idixot", "tr-ottel", "cretin!", "please take hike now", "ты дурак"))) > 0
+    assert max(map(value, ("take", "hike", "take. Hike"))) < 0  # only together, in one sentence
+    assert np.mean([value(w) > 0 for w in clean]) < 0.02 and np.mean([value(b) > 0 for b in bags]) < 0.05
     long = "word " * 300_000 + "idiot"
-    assert text_value(long, weights, bias)[0] == pytest.approx(value("idiot"))
+    assert text_value(long, weights, bias)[0] == pytest.approx(value("word idiot"), abs=1e-4)
     assert text_value(None, weights, bias) == text_value("", weights, bias) == (-1.0, 0)
 
 
@@ -158,8 +220,8 @@ def test_toxicity_held_out(spark):
     found = queries.QUERIES["op10_toxicity"](spark, DATA)
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     rows = found.where("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").toPandas()
-    # some 180 toxic documents to fit here, a few dozen for each language; with 1,500 all are found
-    assert rows.predicted[rows.toxic == 1].mean() > 0.75
+    # some 250 toxic documents to fit here, a few dozen for each language; with 1,500 all are found
+    assert rows.predicted[rows.toxic == 1].mean() > 0.85
     assert rows.predicted[rows.toxic == 0].mean() < 0.03
 
 
