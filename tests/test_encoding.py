@@ -5,6 +5,7 @@ import base64
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from corpusflow.functions import subword
 from corpusflow.functions.chars import char_len, collect_vocab, explode_chars
 from corpusflow.operators.encode import CharEncoder, SubwordEncoder, decode_ids, encode_chars, pick_encoder
@@ -138,3 +139,16 @@ def test_results_do_not_depend_on_partitioning(docs):
     one = encode_chars(docs.coalesce(1), vocab).orderBy("doc_id").collect()
     many = encode_chars(docs.repartition(7, F.rand(1)), vocab).orderBy("doc_id").collect()
     assert one == many
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    rows = [(i, *row) for i, row in enumerate([("aé😀", "fr"), ("", "en"), ("b", "en"), (None, "de")] * 5)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{folder}/documents.parquet")
+    return folder
+
+
+def test_token_totals_count_subword_ids(spark, corpus):
+    """Every byte is an id and every document ends with one more; characters are not what is counted."""
+    assert sum(r.tokens for r in entry.queries()["token_totals"](spark, corpus).collect()) == 5 * (8 + 1 + 2)
