@@ -152,3 +152,8 @@ def corpus(spark, tmp_path_factory):
 def test_token_totals_count_subword_ids(spark, corpus):
     """Every byte is an id and every document ends with one more; characters are not what is counted."""
     assert sum(r.tokens for r in entry.queries()["token_totals"](spark, corpus).collect()) == 5 * (8 + 1 + 2)
+
+
+def test_an_epoch_is_the_whole_subword_corpus(spark, corpus):
+    [epoch] = entry.queries()["epoch_iters"](spark, corpus).collect()
+    assert (epoch.split, epoch.tokens, epoch.iters) == ("train", 55, round(55 / 491520, 6))
