@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusflow.functions.lists import list_array, list_parts
+from corpusflow.functions.lists import list_array, list_parts, row_stretches, text_stretches
 
 # Fixed value: number of Unicode code points, the largest possible character vocabulary.
 MAX_CODE_POINTS = 0x110000
@@ -37,7 +37,8 @@ def encode_column(text: str | Column, vocab: dict[str, int], oov: str = "error",
 
     ``oov`` decides about characters outside the vocabulary: ``error`` fails the job,
     ``drop`` leaves them out, ``unk`` writes the id ``unk``.
-    The look-up is one table access per character on whole Arrow batches.
+    The look-up is one table access per character, a stretch of texts at a time: beside the
+    texts and ids of a batch a worker holds those of one stretch.
     """
     if oov not in ("error", "drop", "unk"):
         raise ValueError(f"unknown oov policy {oov!r}")
@@ -49,10 +50,18 @@ def encode_column(text: str | Column, vocab: dict[str, int], oov: str = "error",
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        filled = pc.fill_null(texts, "")
-        points = np.frombuffer("".join(filled.to_pylist()).encode("utf-32-le"), dtype=np.uint32)
+        lengths = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded, row, size = np.empty(int(lengths.sum()), np.int32), 0, 0
+        for part in text_stretches(texts):
+            ids, kept = look_up(part, lengths[row : row + len(part)])
+            coded[size : size + len(ids)] = ids
+            lengths[row : row + len(part)] = kept
+            row, size = row + len(part), size + len(ids)
+        return list_array(coded[:size], lengths, texts.is_null())
+
+    def look_up(texts: pa.Array, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        points = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), dtype=np.uint32)
         ids = table[np.minimum(points, len(table) - 1)]
-        lengths = pc.utf8_length(filled).to_numpy(zero_copy_only=False).astype(np.int64)
         unknown = ids < 0
         if unknown.any():
             if oov == "error":
@@ -64,7 +73,7 @@ def encode_column(text: str | Column, vocab: dict[str, int], oov: str = "error",
                 owner = np.repeat(np.arange(len(lengths)), lengths)
                 lengths = np.bincount(owner[~unknown], minlength=len(lengths))
                 ids = ids[~unknown]
-        return list_array(ids, lengths, texts.is_null())
+        return ids, lengths
 
     return encode(text)
 
@@ -77,6 +86,11 @@ def decode_column(ids: str | Column, vocab: dict[str, int]) -> Column:
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
+        parts = [spell(lists.slice(low, high - low)) for low, high in row_stretches(sizes)]
+        return pa.chunked_array(parts, type=pa.string()).combine_chunks()
+
+    def spell(lists: pa.Array) -> pa.Array:
         values, ends = list_parts(lists)
         if len(values) and (values.min() < 0 or values.max() >= len(table)):
             raise KeyError("id outside the vocabulary")

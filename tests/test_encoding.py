@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from corpusflow.functions import subword
 from corpusflow.functions.chars import char_len, collect_vocab, explode_chars
+from corpusflow.functions.lists import row_stretches
 from corpusflow.operators.encode import CharEncoder, SubwordEncoder, decode_ids, encode_chars, pick_encoder
 from corpusflow.operators.rows import map_rows
 from corpusflow.operators.vocab import build_vocab, char_freq, corpus_stats, oov_chars, oov_rows, token_long, vocab_size
+from corpusflow.plans import registry
 
 TEXTS = ["", "a", "aé😀b\nc", "é", "x<|endoftext|>y", "tab\there", "zz"]
 
@@ -157,3 +159,29 @@ def test_token_totals_count_subword_ids(spark, corpus):
 def test_an_epoch_is_the_whole_subword_corpus(spark, corpus):
     [epoch] = entry.queries()["epoch_iters"](spark, corpus).collect()
     assert (epoch.split, epoch.tokens, epoch.iters) == ("train", 55, round(55 / 491520, 6))
+
+
+def test_workers_get_small_batches(spark, corpus):
+    """Unless the session names another size."""
+    setting = registry.BATCH_SETTING
+    for given, want in ((None, registry.BATCH_BYTES), (1 << 20, 1 << 20)):
+        spark.conf.unset(setting) if given is None else spark.conf.set(setting, str(given))
+        assert entry.queries()["vocab_size"](spark, corpus).first().vocab_size == 4
+        assert int(spark.conf.get(setting).removesuffix("b")) == want
+    spark.conf.unset(setting)
+
+
+def test_long_texts_in_one_batch(spark):
+    """Batches of several stretches, a text longer than one among them."""
+    texts = ["ab" * 300_000, None, "", "é😀" * 800_000, "b", "aé" * 200_000, "x" * 10, None]
+    frame = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string").coalesce(1)
+    known = {"a": 0, "b": 1, "é": 2, "😀": 3}
+    assert len([*row_stretches([len(t or "") for t in texts])]) > 2
+    coded = {r.doc_id: r.ids for r in CharEncoder(known, "drop").encode(frame).collect()}
+    assert coded == {i: None if t is None else [known[c] for c in t if c in known] for i, t in enumerate(texts)}
+    back = decode_ids(CharEncoder({**known, "x": 4}).encode(frame), {**known, "x": 4})
+    assert {r.doc_id: r.text for r in back.collect()} == dict(enumerate(texts))
+    ranks = subword.byte_ranks()
+    pieces = subword.encode_subword(frame, ranks)
+    assert {r.doc_id: r.len for r in pieces.collect()} == {i: None if t is None else len(t.encode()) + 1 for i, t in enumerate(texts)}
+    assert {r.doc_id: r.text for r in subword.decode_subword(pieces, ranks).collect()} == dict(enumerate(texts))
