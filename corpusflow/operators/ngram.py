@@ -6,10 +6,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from corpusflow.functions.hashing import hash_uniform
-from corpusflow.functions.lists import crop_context, list_parts
+from corpusflow.functions.lists import crop_context, list_parts, row_stretches
 from corpusflow.operators.scan import SCAN_BITS
 from corpusflow.scratch import stored
 from corpusflow.ship import ship_package
@@ -17,8 +18,10 @@ from corpusflow.ship import ship_package
 # Fixed value: ids are 16 bit, so a context of up to three of them packs into a BIGINT.
 ID_SPAN = 65536
 MAX_ORDER = 4
-# Below this an n-gram indexes a table of counts (128 MiB at most) instead of being sorted.
-DENSE_GRAMS = 1 << 24
+# Up to so many bits an n-gram indexes a table of counts (16 MiB at most) instead of being sorted.
+DENSE_BITS = 21
+# Distinct n-grams that a task adds up before it hands them on.
+HELD_GRAMS = 1 << 20
 
 
 def pack_context(ids: Column, size: int) -> Column:
@@ -34,81 +37,160 @@ def context_key(ids: Column, size: int) -> Column:
     return pack_context(ids, size) if size < MAX_ORDER else F.slice(ids, -size, size)
 
 
+def _words(n: int) -> list[str]:
+    """Columns of an n-gram packed into 64-bit numbers of four ids each, the last one full."""
+    return [f"_w{i}" for i in range(-(-n // MAX_ORDER))]
+
+
+def _packed(ids: Sequence[np.ndarray]) -> np.ndarray:
+    """The ids of n-grams, one array for each place in them, as rows of those numbers."""
+    words = []
+    for end in range(len(ids), 0, -MAX_ORDER):
+        word = np.zeros(len(ids[0]), np.uint64)
+        for column in ids[max(end - MAX_ORDER, 0) : end]:
+            word <<= np.uint64(16)
+            word |= column.astype(np.uint64)
+        words.insert(0, word)
+    return np.stack(words)
+
+
 def _gram_counts(rows: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
-    """Partial counts of the n-grams of every row, one Arrow batch at a time.
+    """Partial counts of the n-grams of every row, packed: ``(by…, _w0…, cnt)``.
 
-    An n-gram of up to four 16-bit ids is one 64-bit number, so counting a batch is counting
-    equal numbers; only its distinct n-grams leave the task.  Longer ones are numbered by
-    their first ids, then those numbers and the next two ids again, up to their length.
+    A stretch of rows is counted at a time, and a task adds up what it has counted while that is
+    not more than ``HELD_GRAMS`` n-grams: a worker's memory follows neither table nor batch.
     """
     ship_package(rows.sparkSession)
     fields = [rows.schema[name] for name in by]
-    context = T.LongType() if n <= MAX_ORDER else T.ArrayType(T.IntegerType())
-    result = T.StructType([*fields, T.StructField("ctx", context), T.StructField("id", T.IntegerType()), T.StructField("cnt", T.LongType())])
+    result = T.StructType([*fields, *[T.StructField(name, T.LongType()) for name in [*_words(n), "cnt"]]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values, ends = list_parts(batch.column(batch.num_columns - 1))
-            if len(values) < n:
-                continue
-            if values.min() < 0 or values.max() >= ID_SPAN:
-                raise ValueError(f"n-grams need ids from 0 to {ID_SPAN - 1}")
-            starts = np.concatenate([[0], ends[:-1]])
-            # an n-gram is known by its last id; the first n - 1 ids of a row end none
-            whole = np.ones(len(values), dtype=bool)
-            for i in range(n - 1):
-                whole[(starts + i)[starts + i < ends]] = False
-            plain = values.view(np.uint32)
-            grams = plain[: len(values) - n + 1].astype(np.uint64)
-            for i in range(1, min(n, MAX_ORDER)):
-                grams <<= np.uint64(16)
-                grams |= plain[i : len(values) - n + 1 + i]
-            whole = whole[n - 1 :]
-            groups: dict[tuple, list[int]] = {}
-            for row, key in enumerate(zip(*[batch.column(i).to_pylist() for i in range(len(by))])) if by else []:
-                groups.setdefault(key, []).append(row)
-            if len(groups) > 1:
-                owner = np.repeat(np.arange(len(ends)), ends - starts)[n - 1 :]
-            for key, members in groups.items() if by else [((), None)]:
-                chosen = whole
-                if len(groups) > 1:
-                    mine = np.zeros(len(ends), dtype=bool)
-                    mine[members] = True
-                    chosen = whole & mine[owner]
-                if n <= MAX_ORDER:
-                    found, counts = _count_equal(grams[chosen])
-                    before, last = pa.array((found >> np.uint64(16)).astype(np.int64)), (found & np.uint64(ID_SPAN - 1)).astype(np.int32)
-                else:
-                    found, counts = _count_long(grams, plain, np.flatnonzero(chosen), n)
-                    windows = np.lib.stride_tricks.sliding_window_view(plain.view(np.int32), n)[found]
-                    ends_ = pa.array(np.arange(0, (len(found) + 1) * (n - 1), n - 1, dtype=np.int32))
-                    before, last = pa.ListArray.from_arrays(ends_, pa.array(np.ascontiguousarray(windows[:, :-1]).reshape(-1))), windows[:, -1]
-                columns = [pa.array([k] * len(found), type=batch.column(i).type) for i, k in enumerate(key)]
-                columns += [before, pa.array(last), pa.array(counts.astype(np.int64))]
-                yield pa.record_batch(columns, names=result.fieldNames())
+        held: dict[tuple, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size, kinds = 0, []
 
-    return rows.select(*by, "ids").mapInArrow(run, result)
+        def merge() -> int:
+            for key, parts in held.items():
+                held[key] = [_added(parts)]
+            return sum(len(counts) for [(_, counts)] in held.values())
 
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            for key, [(words, counts)] in held.items():
+                columns = [pa.array([k] * len(counts), type=kind) for k, kind in zip(key, kinds)]
+                columns += [pa.array(word.view(np.int64)) for word in words]
+                yield pa.record_batch([*columns, pa.array(counts)], names=result.fieldNames())
+            held.clear()
+
+        for batch in batches:
+            kinds = [batch.column(i).type for i in range(len(by))]
+            lists = batch.column(len(by))
+            lengths = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
+            for low, high in row_stretches(lengths):
+                keys = [*zip(*[batch.column(i).slice(low, high - low).to_pylist() for i in range(len(by))])]
+                for key, found in _stretch_counts(lists.slice(low, high - low), n, keys):
+                    held.setdefault(key, []).append(found)
+                    size += len(found[1])
+                if size > HELD_GRAMS:
+                    size = merge()
+                    if size > HELD_GRAMS // 2:
+                        yield from handed_on()
+                        size = 0
+        merge()
+        yield from handed_on()
 
-def _count_equal(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct numbers and how often each occurs; by table where they are small."""
-    if len(numbers) and numbers.max() < DENSE_GRAMS:
-        counts = np.bincount(numbers.astype(np.int64))
-        found = np.flatnonzero(counts)
-        return found.astype(np.uint64), counts[found]
-    return np.unique(numbers, return_counts=True)
+    return rows.select(*by, "ids").mapInArrow(run, result)
 
 
-def _count_long(grams: np.ndarray, plain: np.ndarray, places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _stretch_counts(lists: pa.Array, n: int, keys: list[tuple]) -> Iterator[tuple[tuple, tuple[np.ndarray, np.ndarray]]]:
+    """For each key of the rows, or one empty key: the packed n-grams inside its rows, and how often each occurs."""
+    values, ends = list_parts(lists)
+    if len(values) < n:
+        return
+    if values.min() < 0 or values.max() >= ID_SPAN:
+        raise ValueError(f"n-grams need ids from 0 to {ID_SPAN - 1}")
+    starts = np.concatenate([[0], ends[:-1]])
+    # an n-gram is known by its last id; the first n - 1 ids of a row end none
+    whole = np.ones(len(values), dtype=bool)
+    for i in range(n - 1):
+        whole[(starts + i)[starts + i < ends]] = False
+    whole = whole[n - 1 :]
+    groups: dict[tuple, list[int]] = {}
+    for row, key in enumerate(keys):
+        groups.setdefault(key, []).append(row)
+    if len(groups) < 2:
+        yield next(iter(groups), ()), _count_grams(values, np.flatnonzero(whole), n)
+        return
+    owner = np.repeat(np.arange(len(ends)), ends - starts)[n - 1 :]
+    for key, members in groups.items():
+        mine = np.zeros(len(ends), dtype=bool)
+        mine[members] = True
+        yield key, _count_grams(values, np.flatnonzero(whole & mine[owner]), n)
+
+
+def _count_grams(values: np.ndarray, places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams that begin at ``places``, packed, and how often each occurs.
+
+    With the ids in use numbered anew, an n-gram mostly fits one 64-bit number, and counting is
+    counting equal numbers.  Where it does not, its first ids are numbered, then those numbers
+    and the next two ids again, up to its length.
+    """
+    used = np.flatnonzero(np.bincount(values))
+    bits = max(int(len(used) - 1).bit_length(), 1)
+    if bits * n > 64:
+        first, counts = _count_long(values, places, n)
+        return _packed([values[first + i] for i in range(n)]), counts
+    numbers = np.zeros(int(used[-1]) + 1, np.uint64)
+    numbers[used] = np.arange(len(used), dtype=np.uint64)
+    plain, grams = numbers[values], np.zeros(len(values) - n + 1, np.uint64)
+    for i in range(n):
+        grams <<= np.uint64(bits)
+        grams |= plain[i : len(grams) + i]
+    grams = grams[places]
+    if bits * n <= DENSE_BITS:
+        table = np.bincount(grams.astype(np.int64))
+        found = np.flatnonzero(table)
+        counts, found = table[found], found.astype(np.uint64)
+    else:
+        found, counts = np.unique(grams, return_counts=True)
+    mask = np.uint64((1 << bits) - 1)
+    return _packed([used[(found >> np.uint64(bits * (n - 1 - i))) & mask] for i in range(n)]), counts.astype(np.int64)
+
+
+def _count_long(values: np.ndarray, places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """A place of every distinct n-gram that begins at one of ``places``, and how often it occurs."""
-    numbers = grams[places]
+    [numbers] = _packed([values[places + i] for i in range(MAX_ORDER)])
     for i in range(MAX_ORDER, n, 2):
         numbers = np.unique(numbers, return_inverse=True)[1].astype(np.uint64) << np.uint64(32)
-        numbers |= plain[places + i].astype(np.uint64) << np.uint64(16)
+        numbers |= values[places + i].astype(np.uint64) << np.uint64(16)
         if i + 1 < n:
-            numbers |= plain[places + i + 1]
+            numbers |= values[places + i + 1].astype(np.uint64)
     _, first, counts = np.unique(numbers, return_index=True, return_counts=True)
-    return places[first], counts
+    return places[first], counts.astype(np.int64)
+
+
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the same n-grams added up."""
+    if len(parts) == 1:
+        return parts[0]
+    words, counts = np.concatenate([w for w, _ in parts], axis=1), np.concatenate([c for _, c in parts])
+    if not len(counts):
+        return words, counts
+    order = np.lexsort(words)
+    words = words[:, order]
+    starts = np.flatnonzero(np.append(True, (words[:, 1:] != words[:, :-1]).any(axis=0)))
+    return words[:, starts], np.add.reduceat(counts[order], starts)
+
+
+def _total_counts(counts: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
+    """``(by…, ctx, id, cnt)`` of partial counts: n-grams are exchanged as numbers and unpacked at the end."""
+    names = _words(n)
+    total = counts.groupBy(*by, *names).agg(F.sum("cnt").alias("cnt"))
+
+    def id_at(back: int) -> Column:
+        word = F.shiftrightunsigned(names[-1 - back // MAX_ORDER], 16 * (back % MAX_ORDER))
+        return word.bitwiseAND(F.lit(ID_SPAN - 1).cast("bigint")).cast("int")
+
+    context = F.shiftrightunsigned(names[0], 16) if n <= MAX_ORDER else F.array(*[id_at(back) for back in range(n - 1, 0, -1)])
+    return total.select(*by, context.alias("ctx"), id_at(0).alias("id"), "cnt")
 
 
 def preceding_ids(edges: DataFrame, size: int, order: str = "doc_id", by: Sequence[str] = ("split",), bits: int = SCAN_BITS) -> DataFrame:
@@ -168,7 +250,7 @@ def count_ngrams(
         carried = preceding_ids(held, edge, order, keys, bits).where(F.size("before") > 0)
         spanning = carried.select(*keys, F.concat("before", "head").alias("ids")).where(F.size("ids") >= n)
         counts = counts.unionByName(_gram_counts(spanning, n, by))
-    return counts.groupBy(*by, "ctx", "id").agg(F.sum("cnt").alias("cnt"))
+    return _total_counts(counts, n, by)
 
 
 def fit_ngram(pages: DataFrame, n: int = 2, by: Sequence[str] = ()) -> DataFrame:
@@ -204,7 +286,7 @@ def fit_ngram(pages: DataFrame, n: int = 2, by: Sequence[str] = ()) -> DataFrame
             .select(*keys, F.when(F.size(F.col("parts.part")[0]) < edge, short).otherwise(F.flatten(F.col("parts.part"))).alias("ids"))
         )
         counts = counts.unionByName(_gram_counts(borders, n, by))
-    return counts.groupBy(*by, "ctx", "id").agg(F.sum("cnt").alias("cnt"))
+    return _total_counts(counts, n, by)
 
 
 def top_k_ties(df: DataFrame, k: int, by: str | Sequence[str] = "ctx", score: str = "cnt") -> DataFrame:
@@ -347,6 +429,6 @@ def estimate_loss(blocks: DataFrame, table: DataFrame, vocab_size: int, n: int =
     """
     ids = F.concat(F.slice("x", 1, 1), "y").alias("ids")
     pairs = _gram_counts(blocks.select("split", "iter", ids), n, ["split", "iter"])
-    pairs = pairs.groupBy("split", "iter", "ctx", "id").agg(F.sum("cnt").alias("cnt"))
+    pairs = _total_counts(pairs, n, ["split", "iter"])
     losses = cross_entropy(pairs, table, vocab_size, by=("split", "iter"))
     return losses.groupBy("split").agg(F.count("*").alias("iters"), F.avg("loss").alias("loss"))

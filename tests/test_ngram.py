@@ -193,3 +193,28 @@ def test_estimated_loss_is_the_mean_of_batch_means(spark):
     first = [p[0, 1], p[1, 0], p[0, 0], p[0, 1]]
     batches = [-sum(map(math.log, first)) / 4, -(math.log(p[5, 1]) + math.log(p[1, 0])) / 2]
     assert got["val"] == (2, pytest.approx(sum(batches) / 2)) and got["train"] == (1, pytest.approx(-math.log(4 / 7)))
+
+
+@pytest.mark.parametrize("n", [3, 4, 6, 9])
+def test_counts_of_many_different_ids(spark, n):
+    """Too many ids for a table of counts; from six on, for one number an n-gram too."""
+    draw = random.Random(n)
+    lists = [[draw.randrange(65536) for _ in range(40)] * 2 for _ in range(100)]
+    frame = spark.createDataFrame([("train", i, ids) for i, ids in enumerate(lists)], "split string, doc_id bigint, ids array<int>").repartition(3)
+    got = {(unpacked(r.ctx, n), r.id): r.cnt for r in ngram.count_ngrams(frame, n).collect()}
+    assert got == tuples([i for ids in lists for i in ids], n)
+
+
+@pytest.mark.parametrize("n", [2, 6])
+@pytest.mark.parametrize("held", [10, 1 << 20])
+def test_a_task_adds_up_its_batches(spark, monkeypatch, n, held):
+    monkeypatch.setattr(ngram, "HELD_GRAMS", held)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        ids = list(range(20)) * 2
+        frame = spark.createDataFrame([(f"s{i % 2}", ids) for i in range(30)], "split string, ids array<int>").coalesce(1)
+        parts = ngram._gram_counts(frame, n, ["split"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sum(r.cnt for r in parts) == 30 * (len(ids) - n + 1)
+    assert len(parts) == 2 * 20 if held > 10 else len(parts) > 2 * 20
