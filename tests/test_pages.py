@@ -251,6 +251,13 @@ def test_rows_travel_once_and_pieces_remain_at_ends(spark, coded, streams):
             assert [got[i] for i in range(len(ids))] == ids and len(got) == len(ids)
 
 
+@pytest.mark.parametrize("size", [3, P, 2 * P])
+def test_a_task_may_have_nothing_to_hand_on(spark, size):
+    """Less than a page in its first batch, or nothing held after its last."""
+    docs = spark.createDataFrame([("train", 1, list(range(size)), size)], "split string, doc_id bigint, ids array<int>, len int")
+    assert sum(joined(token_pages(docs, P))["train"], []) == list(range(size))
+
+
 @pytest.mark.parametrize("layout", ["parts", "single"])
 def test_pages_are_written_where_they_lie(spark, coded, streams, tmp_path, layout):
     path = str(tmp_path / "store")
